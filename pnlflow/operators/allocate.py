@@ -27,9 +27,8 @@ def spread_pool(df: DataFrame, pool: DataFrame, period: str, weight: str, target
     weight != 0, else target.  The pool join is inner: periods without a pool row
     disappear.  Both per-period tables have at most ``period_bound`` rows and are
     broadcast."""
-    attached = df.join(bounded_broadcast(pool.select(period, pool_col), period_bound), period, "inner")  # J7
-    period_total = attached.groupBy(period).agg(F.sum(weight).alias("__period_weight"))  # A7
-    with_total = attached.join(bounded_broadcast(period_total, period_bound), period, "inner")  # J8
+    attached = attach_per_period(df, pool.select(period, pool_col), period, period_bound)  # J7
+    with_total = attach_period_total(attached, period, weight, "__period_weight", period_bound)  # A7 + J8
     spread = (F.when(F.col(weight) != 0,
                      S.money(F.col(pool_col).cast("double") * S.safe_divide(weight, "__period_weight")
                              + F.col(target).cast("double")))
@@ -37,6 +36,17 @@ def spread_pool(df: DataFrame, pool: DataFrame, period: str, weight: str, target
     return with_total.withColumn(target, spread).drop(pool_col, "__period_weight")
 
 
+def attach_per_period(df: DataFrame, table: DataFrame, period: str, period_bound: int) -> DataFrame:
+    """Attach a per-period table (inner: rows of periods without an entry vanish)."""
+    return df.join(bounded_broadcast(table, period_bound), period, "inner")
+
+
+def attach_period_total(df: DataFrame, period: str, weight: str, out: str, period_bound: int) -> DataFrame:
+    """A7 + J8: attach the period's own weight total (aggregate, then broadcast join)."""
+    total = df.groupBy(period).agg(F.sum(weight).alias(out))
+    return df.join(bounded_broadcast(total, period_bound), period, "inner")
+
+
 def net_sign_flag(df: DataFrame, group: Sequence[str], weight: str, flag: str = "flag") -> DataFrame:
     """Flag every row by the sign of its group's net weight: >= 0 positive,
     negative or NULL negative."""
@@ -84,6 +94,13 @@ def level_totals(df: DataFrame, levels: Sequence[str], scope: Sequence[str], wei
     return result
 
 
+def attach_level_totals(df: DataFrame, levels: Sequence[str], scope: Sequence[str], weight: str, cost: str,
+                        columns: Sequence[str]) -> DataFrame:
+    """W2-W4 per row: join the chosen per-cell totals back to the rows."""
+    totals = level_totals(df, levels, scope, weight, cost)
+    return join_null_safe(df, totals.select(*levels, *scope, *columns), [*levels, *scope])
+
+
 def cascade_allocate(df: DataFrame, levels: Sequence[str], scope: Sequence[str], weight: str, cost: str,
                      out: str) -> DataFrame:
     """D3: proportional allocation with fallback up a hierarchy.

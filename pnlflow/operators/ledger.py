@@ -31,6 +31,12 @@ def currency_rule(p: JobParams) -> Column:
     return F.col("currency") != F.lit(rules.USD)
 
 
+def currency_rule_by_row() -> Column:
+    """F3 in its general form: the company of each row decides the currency test."""
+    return (F.when(F.col("comp_code").isin(*rules.USD_COMPANIES), F.col("currency") == F.lit(rules.USD))
+            .otherwise(F.col("currency") != F.lit(rules.USD)))
+
+
 def indicator_a_allowed() -> Column:
     """NOT IN list (a NULL indicator drops the row)."""
     return ~F.col("indicator_a").isin(*rules.EXCLUDED_INDICATOR_A)

@@ -70,7 +70,7 @@ def planning_enriched(base: DataFrame, product_hier: DataFrame, brand_hier: Data
     return (joined.groupBy(
                 "sku", "channel", "category", "date", "scenario", "format_flavor", "subbrand", "brand",
                 F.col("cluster1").alias("area"), F.col("cluster2").alias("cluster"),
-                F.col("country").alias("market"),
+                F.col("country_key").alias("market"),
                 S.label("level_account", rules.PLANNING_ACCOUNT_MEASURE).alias("cuenta"))
             .agg(*[F.sum(v).alias(v) for v in VALUES]))
 
