@@ -1,5 +1,5 @@
 """pnlflow: a customer-by-product P&L job as Spark DataFrame operators."""
 
-from pnlflow.rules import JobParams, test_data_params
+from pnlflow.rules import JobParams, synthetic_params
 
-__all__ = ["JobParams", "test_data_params"]
+__all__ = ["JobParams", "synthetic_params"]

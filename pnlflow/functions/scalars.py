@@ -9,6 +9,7 @@ depend on the order in which a cluster adds them up.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -93,10 +94,22 @@ def plain_divide(a: str | Column, b: str | Column) -> Column:
 
 
 def money(c: str | Column) -> Column:
-    """Store an allocated amount as an exact decimal (6 places)."""
+    """An exact decimal amount at the money scale (6 places)."""
     return col(c).cast(MONEY)
 
 
+MICRO = Decimal("0.000001")
+
+
+def money_from_double(c: str | Column) -> Column:
+    """Round a double-precision allocation to 6 decimal places, half up, and store
+    it as an exact decimal.  The rounding is spelled out (floor(x * 1e6 + 0.5))
+    so that every engine yields the same digits; a plain cast would round the
+    shortest decimal form in one engine and the binary value in another."""
+    micros = F.floor(col(c) * F.lit(1000000.0) + F.lit(0.5)).cast("decimal(38,0)")
+    return (micros * F.lit(MICRO)).cast(MONEY)
+
+
 def negate(c: str | Column) -> Column:
     """Sign flip (exact on decimals, never yields -0.0)."""
     return col(c) * F.lit(-1)

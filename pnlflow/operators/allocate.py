@@ -30,8 +30,8 @@ def spread_pool(df: DataFrame, pool: DataFrame, period: str, weight: str, target
     attached = attach_per_period(df, pool.select(period, pool_col), period, period_bound)  # J7
     with_total = attach_period_total(attached, period, weight, "__period_weight", period_bound)  # A7 + J8
     spread = (F.when(F.col(weight) != 0,
-                     S.money(F.col(pool_col).cast("double") * S.safe_divide(weight, "__period_weight")
-                             + F.col(target).cast("double")))
+                     S.money_from_double(F.col(pool_col).cast("double") * S.safe_divide(weight, "__period_weight")
+                                         + F.col(target).cast("double")))
               .otherwise(S.money(target)))
     return with_total.withColumn(target, spread).drop(pool_col, "__period_weight")
 
@@ -120,14 +120,14 @@ def cascade_allocate(df: DataFrame, levels: Sequence[str], scope: Sequence[str],
     for i in range(len(factors)):
         term = w * F.col(f"__f{i}")
         expr = term if expr is None else expr + term
-    return joined.withColumn(out, S.money(expr)).drop(*[f"__f{i}" for i in range(len(factors))])
+    return joined.withColumn(out, S.money_from_double(expr)).drop(*[f"__f{i}" for i in range(len(factors))])
 
 
 def prorate_within(df: DataFrame, group: Sequence[str], weight: str, cost: str, out: str) -> DataFrame:
     """Single-level proration: out = group_cost * (weight / group_weight), no fallback."""
     totals = df.groupBy(*group).agg(F.sum(weight).alias("__gw"), F.sum(cost).alias("__gc"))
     return (join_null_safe(df, totals, group)
-            .withColumn(out, S.money(F.col("__gc").cast("double") * S.safe_divide(weight, "__gw")))
+            .withColumn(out, S.money_from_double(F.col("__gc").cast("double") * S.safe_divide(weight, "__gw")))
             .drop("__gw", "__gc"))
 
 

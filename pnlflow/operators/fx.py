@@ -60,7 +60,7 @@ def convert(long_df: DataFrame, rates: DataFrame, keys: Sequence[str], amount: s
     total = F.sum(amount)
 
     def at(rate: str) -> F.Column:
-        return (F.when(F.col(account) != F.lit(quantity_account), S.money(S.plain_divide(total, F.max(rate))))
+        return (F.when(F.col(account) != F.lit(quantity_account), S.money_from_double(S.plain_divide(total, F.max(rate))))
                 .otherwise(S.money(total)))
 
     return (joined.groupBy(*keys, account)

@@ -21,8 +21,8 @@ from pnlflow.operators import allocate, enrich, fx, ledger, output, planning, re
 from pnlflow.operators.joins import join_null_safe
 from pnlflow.plans import oracle as O
 from pnlflow.plans.pipeline import CASCADE_LEVELS, SCOPE, SIGN_GROUP, Stages
-from pnlflow.rules import JobParams, test_data_params
-from pnlflow.sources.inputs import test_inputs
+from pnlflow.rules import JobParams, synthetic_params
+from pnlflow.sources.inputs import derived_inputs
 
 ROW_DIMS = ["sku", "country", "customer", "customer_name", "channel", "subchannel", "period_year", "sales_order",
             "currency_copa", "category", "bsp", "brand", "ff"]
@@ -66,7 +66,7 @@ def as_output(df: DataFrame, cols: Sequence[str], nums: Sequence[str]) -> DataFr
 # ----------------------------------------------------------------------------
 # S, F: scans and filters over whole tables
 # ----------------------------------------------------------------------------
-P = test_data_params()
+P = synthetic_params()
 LEDGER_SCAN = ["fiscper", "comp_code", "material", "customer", "doc_number", "pstng_date", "currency", "volume",
                "gross"]
 
@@ -454,7 +454,7 @@ reg("d11_full_pnl", lambda st: st.result, "o_result", rules.OUTPUT_COLUMNS, FINA
 # ----------------------------------------------------------------------------
 def run(name: str, spark: SparkSession, sf_dir: str, params: JobParams | None = None) -> DataFrame:
     qy = REGISTRY[name]
-    st = Stages(test_inputs(spark, sf_dir), params or test_data_params())
+    st = Stages(derived_inputs(spark, sf_dir), params or synthetic_params())
     return as_output(qy.spark(st), qy.cols, qy.nums)
 
 
@@ -463,5 +463,5 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql(params: JobParams | None = None) -> dict[str, str]:
-    p = params or test_data_params()
+    p = params or synthetic_params()
     return {name: O.oracle_query(p, _final_select(qy)) for name, qy in REGISTRY.items() if qy.oracle is not None}

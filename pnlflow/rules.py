@@ -192,7 +192,7 @@ class JobParams:
         return (self.period_end.year - self.period_start.year) * 12 + self.period_end.month - self.period_start.month + 1
 
 
-def test_data_params() -> JobParams:
+def synthetic_params() -> JobParams:
     """Parameters for the derived views over the TPC-H-like test tables.
 
     The views translate the test tables into the original code space

@@ -43,7 +43,7 @@ def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df.select(*cols) if cols else df
 
 
-def test_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
+def derived_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
     """Inputs derived from the TPC-H-like test tables (see ``testviews``)."""
     raw: dict[str, DataFrame] = {}
     views = {}
