@@ -67,9 +67,12 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage of a stage read by several later stages: a reliable checkpoint
-    in the shared ``spark.checkpoint.dir`` (survives executor loss; never a
-    local checkpoint).  The folder is only chosen here when the session has none."""
+    """Cut the lineage of a stage read by several later stages: an eager, reliable
+    checkpoint into the shared ``spark.checkpoint.dir`` (never a local
+    checkpoint, never a machine-local folder on a cluster).  One job computes
+    and writes the stage; the result keeps the stage's output partitioning, so
+    later aggregates on the same keys need no new shuffle, and a lost executor
+    only costs a re-read of the checkpoint files."""
     from pnlflow.session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(df.sparkSession)

@@ -1,0 +1,7 @@
+"""Streaming operators: none.
+
+The job rebuilds its result table in one batch run; it reads no stream and
+keeps no state between runs, so there is no watermark, window or stateful
+operator to express with Structured Streaming.  The package exists so that the
+layout matches the other engines' builds; it is intentionally empty.
+"""
