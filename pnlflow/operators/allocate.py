@@ -72,7 +72,8 @@ def level_totals(df: DataFrame, levels: Sequence[str], scope: Sequence[str], wei
     of its lo group is 0 and that of its hi group is not.  Every condition
     depends only on the row's cell, so the pass-up is summed per cell first.
     The cell table is bounded by catalogue x periods, not by the fact size; it
-    is checkpointed so the level aggregates below do not repeat its lineage."""
+    is checkpointed so the level aggregates below repeat a small scan, not its
+    lineage."""
     cells = materialize(df.groupBy(*levels, *scope).agg(F.sum(weight).alias("__w"), F.sum(cost).alias("__c")))
     names = [f"__vol_{i}" for i in range(len(levels))] + ["__vol_scope"]
     out = cells
@@ -84,6 +85,7 @@ def level_totals(df: DataFrame, levels: Sequence[str], scope: Sequence[str], wei
     out = join_null_safe(out, cells.groupBy(*scope).agg(F.sum("__w").alias(names[-1])), list(scope))
     # pass-up from each level to the next one (the last level passes to the scope)
     uppers = [[lvl] for lvl in levels[1:]] + [[]]
+    # read by the four pass-up aggregates below: checkpointed as well (small table)
     out = materialize(out.select(
         "*", *[F.when((F.col(names[i]) == 0) & (F.col(names[i + 1]) != 0), F.col("__c"))
                .otherwise(F.lit(0)).alias(f"__pass_{i + 1}") for i in range(len(uppers))]))

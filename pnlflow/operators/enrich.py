@@ -24,7 +24,7 @@ MEASURES = ["cogs_logistic", "cogs_manufacturing", "g2n", "gross_sales", "volume
 def product_dim(product_hier: DataFrame, brand_hier: DataFrame) -> DataFrame:
     """Product hierarchy with its brand description (left join; a brand segment
     listed twice fans the SKU out)."""
-    brands = checked_broadcast(brand_hier.select("brand_segment", "brand"))
+    brands = checked_broadcast(brand_hier.select("brand_segment", "brand"), basis=brand_hier)
     return (product_hier.join(brands, product_hier["bws"] == brands["brand_segment"], "left")
             .select("sku", "category", "brand", F.col("bws_desc").alias("bsp"), "ff"))
 
@@ -39,8 +39,8 @@ def customer_dim(customer_flat: DataFrame, customer_area: DataFrame, customer: D
             .select("area_id", F.col("sales_org").alias("bu"),
                     S.label("level2", rules.CHANNEL_BY_LEVEL2, F.col("level2")).alias("channel"),
                     F.col("level5").alias("subchannel")))
-    areas = checked_broadcast(customer_area.select("area_id", "customer_id"))
-    names = checked_broadcast(customer.select("customer_id", "customer_name"))
+    areas = checked_broadcast(customer_area.select("area_id", "customer_id"), basis=customer_area)
+    names = checked_broadcast(customer.select("customer_id", "customer_name"), basis=customer)
     return (flat.join(areas, "area_id").join(names, "customer_id")
             .select("bu", "channel", "subchannel", F.col("customer_id").alias("customer"), "customer_name"))
 
@@ -56,7 +56,7 @@ def attach_product(conformed: DataFrame, product: DataFrame) -> DataFrame:
 def orphan_report(fact: DataFrame, dim: DataFrame, key: str, by: Sequence[str],
                   measures: Sequence[str] = MEASURES) -> DataFrame:
     """D10 (J4 / J6): measures of fact rows whose key has no dimension row, summed by ``by``."""
-    keys = checked_broadcast(dim.select(key).where(F.col(key).isNotNull()).distinct())
+    keys = checked_broadcast(dim.select(key).where(F.col(key).isNotNull()).distinct(), basis=dim)
     return (fact.join(keys, key, "left_anti")
             .groupBy(*by)
             .agg(*[F.sum(m).alias(m) for m in measures]))
@@ -65,7 +65,7 @@ def orphan_report(fact: DataFrame, dim: DataFrame, key: str, by: Sequence[str],
 def attach_customer(ledger_product: DataFrame, customers: DataFrame) -> DataFrame:
     """J5 + A5: left join to the distinct customer attributes, then collapse exact key
     duplicates with MAX.  A customer with several attribute rows fans out."""
-    attrs = checked_broadcast(customers.select("customer", *CUSTOMER_ATTRS).distinct())
+    attrs = checked_broadcast(customers.select("customer", *CUSTOMER_ATTRS).distinct(), basis=customers)
     return (ledger_product.join(attrs, "customer", "left")
             .groupBy(*ACTUALS_KEYS)
             .agg(*[F.max(m).alias(m) for m in MEASURES]))

@@ -50,11 +50,14 @@ def exchange_rates(rates: DataFrame, p: JobParams) -> DataFrame:
 
 
 def convert(long_df: DataFrame, rates: DataFrame, keys: Sequence[str], amount: str = "amount",
-            account: str = "account", quantity_account: str = "VOLUME") -> DataFrame:
+            account: str = "account", quantity_account: str = "VOLUME",
+            rates_source: DataFrame | None = None) -> DataFrame:
     """J12 + A17 + C16: local amounts at the actual, alternative and prior-year rate.
-    The currency is not a key of the result.  Quantity rows are not converted."""
+    The currency is not a key of the result.  Quantity rows are not converted.
+    The rate table has one row per (period, currency), so it has no more rows than
+    the raw rate source it is grouped from (``rates_source``, when given)."""
     r = checked_broadcast(rates.select("fiscper", F.col("currency").alias("__rate_currency"), "ActRate",
-                                       "ACRate", "ActPYRate"))
+                                       "ACRate", "ActPYRate"), basis=rates_source)
     joined = long_df.join(r, (F.col("currency_copa") == F.col("__rate_currency"))
                           & (F.col("period_year") == F.col("fiscper")), "left")
     total = F.sum(amount)

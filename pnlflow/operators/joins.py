@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -35,18 +36,31 @@ def broadcast_limit_rows(df: DataFrame) -> int:
     return max(1, limit // _row_bytes(df))
 
 
-def checked_broadcast(dim: DataFrame) -> DataFrame:
+_PROVEN: "weakref.WeakKeyDictionary[DataFrame, int]" = weakref.WeakKeyDictionary()
+
+
+def _row_count_upto(df: DataFrame, limit: int) -> int:
+    """Rows of ``df``, counted only up to ``limit + 1`` (cached per DataFrame object)."""
+    if df not in _PROVEN:
+        _PROVEN[df] = df.limit(limit + 1).count()
+    return _PROVEN[df]
+
+
+def checked_broadcast(dim: DataFrame, basis: DataFrame | None = None, factor: int = 1) -> DataFrame:
     """Broadcast a dimension only after proving it is small.
 
-    A bounded count (``limit(n + 1).count()``) is run on the dimension itself;
-    it stops after ``n + 1`` rows, so it is cheap for a small table and
-    bounded for a large one.  Beyond the limit the plain DataFrame is returned
-    and Spark plans a shuffle join (AQE may still convert it at run time).
-    Use this on source dimensions only: counting a table derived from a fact
-    would re-run the fact's lineage.
-    """
+    The proof is a bounded count (``limit(n + 1).count()``), which stops after
+    ``n + 1`` rows: cheap for a small table, bounded for a large one.  A table
+    derived from another one by projection, filter, distinct, grouping or a
+    union of ``factor`` such parts has at most ``factor`` times the rows of its
+    ``basis``, so the count of the basis (done once per DataFrame object) is
+    proof enough.  Beyond the limit the plain DataFrame is returned and Spark
+    plans a shuffle join (AQE may still convert it at run time).  Use this on
+    dimensions only: counting a table derived from a fact would re-run the
+    fact's lineage."""
     n = broadcast_limit_rows(dim)
-    if dim.limit(n + 1).count() <= n:
+    base = dim if basis is None else basis
+    if _row_count_upto(base, n) * factor <= n:
         return F.broadcast(dim)
     return dim
 

@@ -40,7 +40,7 @@ def labels(account: str) -> list[Column]:
 def actuals_final(converted: DataFrame, clusters: DataFrame, p: JobParams) -> DataFrame:
     """J13 + A18 + C8: attach the market clusters of the run's entity, roll up and shape
     the output columns."""
-    clus = checked_broadcast(cluster_lookup(clusters, p.entity))
+    clus = checked_broadcast(cluster_lookup(clusters, p.entity), basis=clusters)
     joined = converted.join(clus, F.col("country") == F.col("country_key"), "left")
     agg = (joined.groupBy("sku", "customer", "customer_name", "bsp", "brand", "category", "ff", "period_year",
                           "channel", "subchannel", "cluster1", "cluster2", "country", "account")

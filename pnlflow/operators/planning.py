@@ -30,7 +30,7 @@ def planning_base(facts: DataFrame, p: JobParams) -> DataFrame:
 def product_rollup(product_hier: DataFrame, brand_hier: DataFrame) -> DataFrame:
     """A20 (+ J1): one row per (category, brand, brand segment, sub-brand) with an
     arbitrary SKU and format/flavor; MIN makes the choice deterministic."""
-    brands = checked_broadcast(brand_hier.select("brand_segment", "brand"))
+    brands = checked_broadcast(brand_hier.select("brand_segment", "brand"), basis=brand_hier)
     return (product_hier.join(brands, product_hier["bws"] == brands["brand_segment"], "left")
             .groupBy("category", "brand", "bws", F.col("bws_desc").alias("subbrand"))
             .agg(F.min("ff").alias("format_flavor"), F.min("sku").alias("sku")))
@@ -60,8 +60,8 @@ def planning_enriched(base: DataFrame, product_hier: DataFrame, brand_hier: Data
     """J14 + J15 + J16 + A22: product rollup (left), account map (inner, may fan out),
     clusters for every entity (left, may fan out), summed by twelve keys."""
     prod = checked_broadcast(product_rollup(product_hier, brand_hier))
-    acct = checked_broadcast(account_map(accounts))
-    clus = checked_broadcast(cluster_lookup(clusters))
+    acct = checked_broadcast(account_map(accounts), basis=accounts, factor=3)
+    clus = checked_broadcast(cluster_lookup(clusters), basis=clusters)
     b = base.withColumn("country", S.label("entity", rules.PLANNING_ENTITY_COUNTRY))
     joined = (b.join(prod, b["product"] == prod["bws"], "left")
               .join(acct.select(F.col("account_code"), F.col("account").alias("level_account")),

@@ -38,8 +38,8 @@ def account_extracts(facts: DataFrame, accounts: DataFrame, entities: DataFrame,
                  .unionByName(acct.where(F.col("level_07").isin(*rules.REPORTING_LEVEL_07))
                               .select("account_code", F.lit(7).alias("extract"),
                                       F.col("level_07").alias("account"))))
-    ents = checked_broadcast(entities.where(F.col("entity") == F.lit(p.entity)).select("entity"))
-    via_hierarchy = (scoped.join(checked_broadcast(level_map), "account_code")
+    ents = checked_broadcast(entities.where(F.col("entity") == F.lit(p.entity)).select("entity"), basis=entities)
+    via_hierarchy = (scoped.join(checked_broadcast(level_map, basis=accounts, factor=2), "account_code")
                      .join(ents, "entity")
                      .select("extract", "entity", "period_year", "account", "sku", "value"))
     leaf = (scoped.where(F.col("account_code").isin(*rules.REPORTING_LEAF))

@@ -132,7 +132,7 @@ class Stages:
 
     @functools.cached_property
     def pnl_fx(self) -> DataFrame:  # stage 31
-        return fx.convert(self.pnl_long, self.exchange_rates, output.FX_KEYS)
+        return fx.convert(self.pnl_long, self.exchange_rates, output.FX_KEYS, rates_source=self.i.fx_rates)
 
     @functools.cached_property
     def actuals_final(self) -> DataFrame:  # stage 32

@@ -89,7 +89,7 @@ SELECT
   CAST(CASE WHEN l_partkey % 10 = 0 OR p_brand = 'Brand#13' OR p_type = 'ECONOMY' THEN 0
             WHEN l_suppkey % 31 = 0 THEN NULL
             WHEN l_returnflag = 'R' THEN -l_quantity ELSE l_quantity END AS DECIMAL(18,2)) AS volume,
-  price AS gross,
+  CAST(price AS DECIMAL(18,2)) AS gross,
   CAST(-ROUND(price * disc, 2) AS DECIMAL(18,2)) AS trade_incentive,
   CAST(-ROUND(price * disc * 0.25, 2) AS DECIMAL(18,2)) AS consumer_incentive,
   CAST(-ROUND(price * tax * 0.10, 2) AS DECIMAL(18,2)) AS other_deduction,
@@ -101,9 +101,9 @@ SELECT
 FROM (
   SELECT l.l_orderkey, l.l_partkey, l.l_suppkey, l.l_linenumber, l.l_quantity, l.l_returnflag, l.l_linestatus,
          l.l_shipdate, o.o_custkey, o.o_orderstatus, p.p_brand, p.p_type,
-         CAST(l.l_extendedprice AS DECIMAL(18,2)) AS price,
-         CAST(l.l_discount AS DECIMAL(18,2)) AS disc,
-         CAST(l.l_tax AS DECIMAL(18,2)) AS tax
+         CAST(l.l_extendedprice AS DECIMAL(10,2)) AS price,
+         CAST(l.l_discount AS DECIMAL(4,2)) AS disc,
+         CAST(l.l_tax AS DECIMAL(4,2)) AS tax
   FROM {t('lineitem')} l
   JOIN {t('orders')} o ON l.l_orderkey = o.o_orderkey
   JOIN {t('part')} p ON l.l_partkey = p.p_partkey
@@ -173,9 +173,9 @@ def reporting_facts(d: Dialect) -> str:
          CASE WHEN l_orderkey % 3 = 0 THEN 'SK' ELSE 'SKU_SK' END || CAST(l_partkey AS STRING) AS sku,
          CASE WHEN l_linenumber = 2 THEN 'USD' ELSE 'LCL' END AS currency,
          l_partkey, l_quantity,
-         CAST(l_extendedprice AS DECIMAL(18,2)) AS price,
-         CAST(l_discount AS DECIMAL(18,2)) AS disc,
-         CAST(l_tax AS DECIMAL(18,2)) AS tax
+         CAST(l_extendedprice AS DECIMAL(10,2)) AS price,
+         CAST(l_discount AS DECIMAL(4,2)) AS disc,
+         CAST(l_tax AS DECIMAL(4,2)) AS tax
   FROM {d.table('lineitem')}
   WHERE l_partkey % 7 <> 0"""
     cols = "entity, date, sku, currency"
@@ -260,8 +260,9 @@ GROUP BY year, m, currency, scenario"""
 def planning_facts(d: Dialect) -> str:
     return f"""
 SELECT scenario, date, account, entity, product, currency, channel, version,
-       CAST(amount * sgn AS DECIMAL(18,2)) AS value_lcl,
-       CASE WHEN l_suppkey % 37 = 0 THEN NULL ELSE CAST(ROUND(amount * sgn * 0.05, 2) AS DECIMAL(18,2)) END AS value_usd
+       CASE WHEN sgn < 0 THEN -amount ELSE amount END AS value_lcl,
+       CASE WHEN l_suppkey % 37 = 0 THEN NULL
+            ELSE CAST(ROUND(CASE WHEN sgn < 0 THEN -amount ELSE amount END * 0.05, 2) AS DECIMAL(18,2)) END AS value_usd
 FROM (
   SELECT CASE WHEN o.o_orderpriority = '5-LOW' THEN 'BUD' ELSE 'AC' END AS scenario,
          make_date(YEAR(l.l_shipdate), MONTH(l.l_shipdate), 1) AS date,
@@ -274,7 +275,7 @@ FROM (
          'V1' AS version,
          l.l_suppkey,
          CASE WHEN l.l_linenumber % 6 = 4 THEN CAST(l.l_quantity AS DECIMAL(18,2))
-              ELSE CAST(ROUND(CAST(l.l_extendedprice AS DECIMAL(18,2)) * 1.1, 2) AS DECIMAL(18,2)) END AS amount,
+              ELSE CAST(ROUND(CAST(l.l_extendedprice AS DECIMAL(10,2)) * 1.1, 2) AS DECIMAL(18,2)) END AS amount,
          CASE WHEN l.l_linenumber % 6 IN (0, 1, 3) THEN -1 ELSE 1 END AS sgn
   FROM {d.table('lineitem')} l
   JOIN {d.table('orders')} o ON l.l_orderkey = o.o_orderkey
