@@ -24,25 +24,34 @@ def rate_base(rates: DataFrame) -> DataFrame:
                     "period", "version", "currency", "scenario", "value"))
 
 
-def _scenario_max(name: str) -> F.Column:
+def scenario_max(name: str) -> F.Column:
     return F.max(F.when(F.col("scenario") == F.lit(name), F.col("value")))
 
 
+def current_rates(base: DataFrame) -> DataFrame:
+    """Both scenario rates side by side (scenario stays a grouping key)."""
+    return (base.groupBy("year", "date", "period", "version", "currency", "scenario")
+            .agg(scenario_max(rules.FX_SCENARIO_ALT).alias("ACRate"),
+                 scenario_max(rules.FX_SCENARIO_ACT).alias("ActRate")))
+
+
+def prior_year_rates(base: DataFrame) -> DataFrame:
+    """A14 + C10: the rates of each month keyed by the same month one year later."""
+    return (base.groupBy("year", "date", F.add_months("date", 12).alias("next_year_date"), "period", "version",
+                         "currency")
+            .agg(scenario_max(rules.FX_SCENARIO_ALT).alias("ACPYRate"),
+                 scenario_max(rules.FX_SCENARIO_ACT).alias("ActPYRate")))
+
+
 def exchange_rates(rates: DataFrame, p: JobParams) -> DataFrame:
-    """A14 + J11 + A15: per (fiscal period, currency) the current rates of both
+    """J11 + A15: per (fiscal period, currency) the current rates of both
     scenarios and the prior-year rates (the rate whose date + 1 year is this
     date).  The date window applies to the current side only, so prior-year
     rates from before the window still count."""
     base = rate_base(rates)
-    current = (base.groupBy("year", "date", "period", "version", "currency", "scenario")
-               .agg(_scenario_max(rules.FX_SCENARIO_ALT).alias("ACRate"),
-                    _scenario_max(rules.FX_SCENARIO_ACT).alias("ActRate")))
-    prior = (base.groupBy("year", "date", F.add_months("date", 12).alias("next_year_date"), "period", "version",
-                          "currency")
-             .agg(_scenario_max(rules.FX_SCENARIO_ALT).alias("ACPYRate"),
-                  _scenario_max(rules.FX_SCENARIO_ACT).alias("ActPYRate"))
-             .select(F.col("next_year_date"), F.col("currency").alias("py_currency"), "ACPYRate", "ActPYRate"))
-    joined = (current.where(F.col("date").between(F.lit(p.period_start), F.lit(p.period_end)))
+    prior = prior_year_rates(base).select(
+        "next_year_date", F.col("currency").alias("py_currency"), "ACPYRate", "ActPYRate")
+    joined = (current_rates(base).where(F.col("date").between(F.lit(p.period_start), F.lit(p.period_end)))
               .join(prior, (F.col("date") == F.col("next_year_date")) & (F.col("currency") == F.col("py_currency")),
                     "left"))
     return (joined.groupBy(S.fiscal_period("date").alias("fiscper"), "currency")

@@ -34,13 +34,22 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; only when it is unset (local
-    tests) point it at a fresh scratch folder."""
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared folder for lineage cuts.
+
+    Uses the checkpoint folder already set on the context, else the cluster's
+    ``spark.checkpoint.dir``.  Only a local session (tests, benchmark) without
+    either gets a fresh scratch folder; on a cluster a machine-local folder
+    would not survive the loss of an executor, so the setting is required."""
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     if current:
-        spark.sparkContext.setCheckpointDir(current)
         return current
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if configured:
+        sc.setCheckpointDir(configured)
+        return configured
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or object storage)")
     path = tempfile.mkdtemp(prefix="pnlflow-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    sc.setCheckpointDir(path)
     return path

@@ -38,6 +38,7 @@ def read_inputs(spark: SparkSession, locations: Mapping[str, str], fmt: str = "p
 
 
 def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One raw test table with only the columns the views use (pruned at the scan)."""
     cols = testviews.RAW_COLUMNS.get(name)
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return df.select(*cols) if cols else df

@@ -69,6 +69,11 @@ def main() -> int:
             continue
         d = con.execute(oracle[n]).df()
         same_cols = sorted(s.columns) == sorted(d.columns)
+        if same_cols:
+            kinds = {c: (s[c].dtype.kind, d[c].dtype.kind) for c in s.columns}
+            differ = {c: k for c, k in kinds.items() if k[0] != k[1] and len(s) and len(d)}
+            if differ:
+                print(f"   dtype kinds differ (spark, duckdb): {differ}")
         rs, rd = rows_of(s), rows_of(d) if same_cols else Counter()
         ok = same_cols and rs == rd
         bad += not ok
