@@ -77,3 +77,20 @@ def test_volume_is_not_converted(spark, amounts):
                                   "ActPYRate decimal(18,6)")
     r = fx.convert(long_df, rates, ["key"]).first()
     assert r["amount_usd"] == r["value_ac_rate"] == r["value_py_rate"] == r["amount_lcl"] == sum(amounts)
+
+
+def test_sign_flag_with_a_hot_order_matches_window_reference(spark):
+    """One order holds two thirds of all rows (and NULL orders form one more group):
+    the aggregate + NULL-safe join flag equals the window definition, and the
+    session lets AQE split the hot join partition."""
+    from pyspark.sql import Window
+
+    assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+    keyed = [("hot", D(1) if i % 3 else D(-1)) for i in range(2000)]
+    keyed += [(f"o{i % 300}", D(-(i % 5)) + 2) for i in range(900)] + [(None, D(-1))] * 100
+    rows = [(k, v, i) for i, (k, v) in enumerate(keyed)]
+    df = spark.createDataFrame(rows, f"sales_order string, vol {DEC}, i int")
+    got = {r["i"]: r["flag"] for r in allocate.net_sign_flag(df, ["sales_order"], "vol").collect()}
+    w = Window.partitionBy("sales_order")
+    ref = df.withColumn("flag", F.when(F.sum("vol").over(w) >= 0, "VOL_POS").otherwise("VOL_NEG"))
+    assert got == {r["i"]: r["flag"] for r in ref.collect()}
