@@ -7,6 +7,7 @@ median is reported.  Prints one JSON line.
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import re
@@ -25,6 +26,9 @@ HEADLINE = ["d11_full_pnl", "a01_ledger_base", "d03_cascade_allocate", "d05_reco
 
 
 def run_once(spark, name: str, sf_dir: str) -> float:
+    # release the previous run's plans, broadcasts and checkpoint references first
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     t = time.perf_counter()
     Q.run(name, spark, sf_dir).write.format("noop").mode("overwrite").save()
     return time.perf_counter() - t

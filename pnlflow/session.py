@@ -24,7 +24,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-               .config("spark.driver.memory", os.environ.get("PNLFLOW_DRIVER_MEMORY", "8g")))
+               .config("spark.driver.memory", os.environ.get("PNLFLOW_DRIVER_MEMORY", "16g")))
     for k, v in JOB_CONF.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
