@@ -89,6 +89,15 @@ def _allowance_returns(p: JobParams) -> Column:
     return a + r
 
 
+def company_currency(p: JobParams) -> Column:
+    """Currency of the row's company.  Under the company filter only the run's
+    company is left, so one branch suffices.  It stays a row expression on
+    purpose: a literal would be folded into every later grouping key, and the
+    later rollups could then no longer reuse the shuffle of the conforming
+    rollup (their keys contain its keys)."""
+    return F.when(F.col("comp_code") == F.lit(p.company), F.lit(p.company_currency).cast("string"))
+
+
 def ledger_base(lines: DataFrame, p: JobParams) -> DataFrame:
     """A1: filter the ledger and roll it up to (period, company, sku, customer,
     order, currency).  The company is a run parameter, so its rule branches are
@@ -96,7 +105,7 @@ def ledger_base(lines: DataFrame, p: JobParams) -> DataFrame:
     before the shuffle)."""
     return (lines.where(ledger_predicate(p))
             .select("fiscper", "comp_code", S.strip_zeros_trim("material").alias("sku"), "customer",
-                    "doc_number", F.lit(p.company_currency).cast("string").alias("currency_copa"),
+                    "doc_number", company_currency(p).alias("currency_copa"),
                     "volume", _gross(p).alias("gross"),
                     *[_scaled(c, p).alias(c) for c in ("trade_incentive", "consumer_incentive",
                                                         "other_deduction", "npd")],

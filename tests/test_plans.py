@@ -58,3 +58,15 @@ def test_result_round_trip(spark, stored_inputs, tmp_path):
     back = spark.read.parquet(out)
     assert back.count() == st.result.count()
     assert set(back.columns) == set(st.result.columns)
+
+
+def test_enrichment_rollups_reuse_the_conforming_shuffle(stored_inputs):
+    """A3 and A5 group by supersets of A2's keys, so they run in A2's partitioning:
+    the order-grain rows are shuffled twice (A1, A2), never by product / customer
+    attributes."""
+    st = Stages(stored_inputs, synthetic_params())
+    text = plan(st.ledger_product_customer)
+    exchanges = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
+    fact_exchanges = [e for e in exchanges if "sku" in e]
+    assert len(fact_exchanges) == 2, fact_exchanges
+    assert not any("category" in e or "customer_name" in e for e in fact_exchanges)
