@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pnlflow import rules
@@ -80,3 +80,42 @@ def convert(long_df: DataFrame, rates: DataFrame, keys: Sequence[str], amount: s
                  at("ActRate").alias("amount_usd"),
                  at("ACRate").alias("value_ac_rate"),
                  at("ActPYRate").alias("value_py_rate")))
+
+
+def convert_wide(wide: DataFrame, rates: DataFrame, keys: Sequence[str], measures: Sequence[str],
+                 quantity_account: str = "VOLUME", rates_source: DataFrame | None = None) -> DataFrame:
+    """D6 on the wide table: the same result as unpivoting ``measures`` (dropping NULL
+    amounts) and then ``convert`` -- but the aggregate runs on the wide rows.
+
+    Per key and measure: the sum of the measure and the largest rate over the rows
+    where the measure is present; a (key, account) row exists iff some row has the
+    measure.  ``explode`` then yields one row per account and, unlike an unpivot,
+    keeps the hash partitioning of the aggregate, so a later rollup on a superset of
+    the keys needs no new shuffle.  The shuffle carries the wide rows, not the
+    seven-times larger long form."""
+    r = checked_broadcast(rates.select("fiscper", F.col("currency").alias("__rate_currency"), "ActRate",
+                                       "ACRate", "ActPYRate"), basis=rates_source)
+    joined = wide.join(r, (F.col("currency_copa") == F.col("__rate_currency"))
+                       & (F.col("period_year") == F.col("fiscper")), "left")
+    aggs = []
+    for i, m in enumerate(measures):
+        present = F.col(m).isNotNull()
+        aggs.append(F.sum(m).alias(f"__s{i}"))
+        aggs += [F.max(F.when(present, F.col(rate))).alias(f"__r{i}_{j}")
+                 for j, rate in enumerate(("ActRate", "ACRate", "ActPYRate"))]
+    g = joined.groupBy(*keys).agg(*aggs)
+
+    def at(i: int, m: str, j: int) -> Column:
+        total = F.col(f"__s{i}")
+        if m == quantity_account:
+            return S.money(total)
+        return S.money_from_double(S.plain_divide(total, F.col(f"__r{i}_{j}")))
+
+    entries = [F.struct(F.lit(m).alias("account"), S.money(f"__s{i}").alias("amount_lcl"),
+                        at(i, m, 0).alias("amount_usd"), at(i, m, 1).alias("value_ac_rate"),
+                        at(i, m, 2).alias("value_py_rate"))
+               for i, m in enumerate(measures)]
+    return (g.select(*keys, F.explode(F.array(*entries)).alias("__e"))
+            .where(F.col("__e.amount_lcl").isNotNull())
+            .select(*keys, "__e.account", "__e.amount_lcl", "__e.amount_usd", "__e.value_ac_rate",
+                    "__e.value_py_rate"))

@@ -20,12 +20,17 @@ WIDE_MEASURES = ["gross_sales", "g2n", "net_revenue", "gross_profit", "volume",
                  "cogs_manufacturing"]
 
 
+def pnl_wide(union: DataFrame) -> DataFrame:
+    """The seven measures summed per twelve dimensions (column = account name).
+    All seven get the money scale, so the long form holds one type without losing
+    the allocated decimals (a common type of (38,2) and (38,6) would round to cents)."""
+    return union.groupBy(*LONG_KEYS).agg(*[S.money(F.sum(m)).alias(m.upper()) for m in WIDE_MEASURES])
+
+
 def pnl_long(union: DataFrame) -> DataFrame:
-    """A16 + R2: sum the seven measures per twelve dimensions, then one row per
-    (dimensions, account) with NULL amounts dropped; the account is the upper-case
-    measure name."""
-    wide = union.groupBy(*LONG_KEYS).agg(*[F.sum(m).alias(m.upper()) for m in WIDE_MEASURES])
-    return unpivot_drop_nulls(wide, LONG_KEYS, list(rules.ACTUAL_MEASURES), "account", "amount")
+    """A16 + R2: one row per (dimensions, account) with NULL amounts dropped; the
+    account is the upper-case measure name."""
+    return unpivot_drop_nulls(pnl_wide(union), LONG_KEYS, list(rules.ACTUAL_MEASURES), "account", "amount")
 
 
 def account_label(account: str | Column, level: int) -> Column:

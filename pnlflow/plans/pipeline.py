@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from pnlflow.operators import allocate, enrich, fx, ledger, output, planning, reconcile, reporting
 from pnlflow.operators.joins import materialize
+from pnlflow import rules
 from pnlflow.rules import JobParams
 from pnlflow.sources.inputs import Inputs
 
@@ -131,8 +132,9 @@ class Stages:
         return output.pnl_long(self.pnl_union)
 
     @functools.cached_property
-    def pnl_fx(self) -> DataFrame:  # stage 31
-        return fx.convert(self.pnl_long, self.exchange_rates, output.FX_KEYS, rates_source=self.i.fx_rates)
+    def pnl_fx(self) -> DataFrame:  # stages 30-31: converted in wide form, then one row per account
+        return fx.convert_wide(output.pnl_wide(self.pnl_union), self.exchange_rates, output.FX_KEYS,
+                               list(rules.ACTUAL_MEASURES), rates_source=self.i.fx_rates)
 
     @functools.cached_property
     def actuals_final(self) -> DataFrame:  # stage 32
