@@ -94,3 +94,23 @@ def test_sign_flag_with_a_hot_order_matches_window_reference(spark):
     w = Window.partitionBy("sales_order")
     ref = df.withColumn("flag", F.when(F.sum("vol").over(w) >= 0, "VOL_POS").otherwise("VOL_NEG"))
     assert got == {r["i"]: r["flag"] for r in ref.collect()}
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.sampled_from(["k1", "k2"]), st.sampled_from(["CUR", "OTH", "NONE"]),
+                               st.one_of(st.none(), money), st.one_of(st.none(), money)),
+                     min_size=1, max_size=8))
+def test_wide_conversion_equals_unpivot_then_convert(spark, rows):
+    wide = spark.createDataFrame(
+        [(k, c, "2023001", a, b) for k, c, a, b in rows],
+        f"key string, currency_copa string, period_year string, GROSS_SALES {DEC}, VOLUME {DEC}")
+    rates = spark.createDataFrame([("2023001", "CUR", D("3"), D("7"), D("11")),
+                                   ("2023001", "OTH", D("5"), D("2"), None)],
+                                  "fiscper string, currency string, ActRate decimal(18,6), ACRate decimal(18,6), "
+                                  "ActPYRate decimal(18,6)")
+    measures = ["GROSS_SALES", "VOLUME"]
+    long_df = reshape.unpivot_drop_nulls(wide, ["key", "currency_copa", "period_year"], measures, "account", "amount")
+    cols = ["key", "account", "amount_lcl", "amount_usd", "value_ac_rate", "value_py_rate"]
+    a = sorted(tuple(r) for r in fx.convert(long_df, rates, ["key"]).select(*cols).collect())
+    b = sorted(tuple(r) for r in fx.convert_wide(wide, rates, ["key"], measures).select(*cols).collect())
+    assert a == b
