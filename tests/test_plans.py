@@ -70,3 +70,13 @@ def test_enrichment_rollups_reuse_the_conforming_shuffle(stored_inputs):
     fact_exchanges = [e for e in exchanges if "sku" in e]
     assert len(fact_exchanges) == 2, fact_exchanges
     assert not any("category" in e or "customer_name" in e for e in fact_exchanges)
+
+
+def test_final_rollup_reuses_the_conversion_shuffle(stored_inputs):
+    """The converted rows stay hash-partitioned by the conversion keys (explode keeps the
+    partitioning), so the final rollup by those keys plus clusters and account adds no
+    exchange keyed on the clusters."""
+    st = Stages(stored_inputs, synthetic_params())
+    text = plan(st.actuals_final)
+    exchanges = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
+    assert not any("cluster1" in e or "cluster2" in e for e in exchanges), exchanges
