@@ -12,21 +12,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pnlflow.llm import lang_cnn, quality_bands, simhash_tiles
+from pnlflow.llm import bwt_dedup, lang_cnn, quality_bands, simhash_tiles
 from pnlflow.llm.common import stored, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents that are text in one of the learned languages: ``und`` goes."""
-    said = lang_cnn.identify(docs, lang_cnn.fit(docs))
-    keep = said.where(F.col("lang_pred") != lang_cnn.UND).select("doc_id").distinct()
-    return docs.join(keep, "doc_id", "left_semi").select(*docs.columns)
+    return lang_cnn.spoken_rows(docs, lang_cnn.fit(docs))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents inside their compression bands."""
-    keep = quality_bands.compression_bands(docs).where("kept").select("doc_id").distinct()
-    return docs.join(keep, "doc_id", "left_semi").select(*docs.columns)
+    return quality_bands.kept_rows(docs)
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,10 +31,19 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return simhash_tiles.one_of_each(docs)
 
 
+def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Removes every 200-byte string that starts twice or more in what is left, all places of it.
+    A code point that a cut divides is dropped; n_chars follows the new text."""
+    rest = bwt_dedup.remove_repeats(docs, keep=tuple(docs.columns), with_text=True)
+    changed = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
+    return rest.select(*(changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns))
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("language_id", language_id),
     ("quality_rules", quality_rules),
     ("simhash_dedup", simhash_dedup),
+    ("suffix_dedup", suffix_dedup),
 ]
 
 #: Model inference, compression and tokenization are beyond SQL; tests hold the stages against brute force.

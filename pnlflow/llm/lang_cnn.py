@@ -188,7 +188,8 @@ def fit(docs: DataFrame, shape: Shape = Shape(), learn: Column | None = None) ->
 SCHEMA = "doc_id long, lang_pred string, score double, n_windows long"
 
 
-def _apply(net: Network | None):
+def _apply(net: Network | None, whole_rows: bool = False):
+    """Predictions, or with ``whole_rows`` the input's rows in a learned language."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, most=2 << 20):
             data, at = utf8(batch.column("text"))
@@ -207,6 +208,9 @@ def _apply(net: Network | None):
                 names[spoken] = np.array(net.langs, object)[best[spoken]]
                 score[spoken] = np.clip(mean[np.arange(n), best], 0, 1)[spoken]
                 count = np.bincount(owner, minlength=n)
+            if whole_rows:
+                yield batch.filter(pa.array(names != UND))
+                continue
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").cast(pa.int64()), pa.array(names.tolist(), pa.string()), pa.array(score), pa.array(count.astype(np.int64))],
                 names=["doc_id", "lang_pred", "score", "n_windows"])
@@ -217,3 +221,8 @@ def identify(docs: DataFrame, net: Network | None) -> DataFrame:
     """doc_id, predicted language and its probability for every row.  The network is a few
     kilobytes, whatever the corpus; predictions see nothing but the text."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_apply(net), SCHEMA)
+
+
+def spoken_rows(docs: DataFrame, net: Network | None) -> DataFrame:
+    """The rows of ``docs`` that are text in a learned language, with all their columns."""
+    return docs.mapInArrow(_apply(net, whole_rows=True), docs.schema)

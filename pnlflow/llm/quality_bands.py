@@ -88,7 +88,8 @@ def repeated_words(ids: np.ndarray, doc: np.ndarray, n_docs: int, window: int =
     return np.bincount(doc, weights=np.cumsum(cover[:-1]) > 0, minlength=n_docs).astype(np.int64)
 
 
-def _judge(bands: Bands):
+def _judge(bands: Bands, whole_rows: bool = False):
+    """Verdicts, or with ``whole_rows`` the input's rows that are kept."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=bands.level)
         size = lambda b: len(press.compress(b))
@@ -117,6 +118,9 @@ def _judge(bands: Bands):
             low, high = (np.bincount(owner[side == s], minlength=n) for s in (-1, 1))
             failed = (n_words < MIN_WORDS) | (100 * repeat > MAX_REPEAT_PERCENT * n_words)
             kept = ~failed & (bands.outside(n_bytes, whole) == 0) & (low + high <= bands.chunk_share * n_chunks)
+            if whole_rows:
+                yield batch.filter(pa.array(kept))
+                continue
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").cast(pa.int64()), *(pa.array(x.astype(np.int64)) for x in (n_words, chars, symbols, dup, repeat)),
                  pa.array(failed), pa.array(kept), pa.array(n_bytes), pa.array(whole), *(pa.array(x.astype(np.int64)) for x in (n_chunks, low, high))],
@@ -127,3 +131,8 @@ def _judge(bands: Bands):
 def compression_bands(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
     """One row per document: the counts, the ratios and the verdict (``kept``).  No shuffle."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_judge(bands), SCHEMA)
+
+
+def kept_rows(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
+    """The rows of ``docs`` whose text is kept, with all their columns.  No shuffle."""
+    return docs.mapInArrow(_judge(bands, whole_rows=True), docs.schema)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pnlflow.llm import lang_cnn, quality_bands, simhash_tiles
+from pnlflow.llm import bwt_dedup, lang_cnn, quality_bands, simhash_tiles
 from pnlflow.llm.common import remainder_of_id, table
 
 
@@ -17,6 +17,11 @@ def op2_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_bands.compression_bands(table(spark, sf_dir, "documents"))
 
 
+def op5_bwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated 200-byte strings of all documents."""
+    return bwt_dedup.remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op7_lang_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Languages of all documents; training sees three quarters of them only."""
     docs = table(spark, sf_dir, "documents")
@@ -30,7 +35,7 @@ def op8_simhash_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_compression_bands, op7_lang_cnn, op8_simhash_tiles)}
+    return {f.__name__: f for f in (op2_compression_bands, op5_bwt_dedup, op7_lang_cnn, op8_simhash_tiles)}
 
 
 def oracle_sql() -> dict[str, str]:
