@@ -12,8 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pnlflow.llm import bwt_dedup, lang_cnn, quality_bands, simhash_tiles
-from pnlflow.llm.common import stored, table
+from pnlflow.llm import best_fit_packing, bwt_dedup, lang_cnn, quality_bands, simhash_tiles
+from pnlflow.llm.common import stored, table, tokenizer_path
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,11 +39,17 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return rest.select(*(changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns))
 
 
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Training sequences of 2048 ids: one row per piece of a document."""
+    return best_fit_packing.pack_documents(docs, tokenizer_path("byte_bpe_50k.json"))
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("language_id", language_id),
     ("quality_rules", quality_rules),
     ("simhash_dedup", simhash_dedup),
     ("suffix_dedup", suffix_dedup),
+    ("packing", packing),
 ]
 
 #: Model inference, compression and tokenization are beyond SQL; tests hold the stages against brute force.

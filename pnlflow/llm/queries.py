@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pnlflow.llm import bwt_dedup, lang_cnn, quality_bands, simhash_tiles
-from pnlflow.llm.common import remainder_of_id, table
+from pnlflow.llm import best_fit_packing, bwt_dedup, lang_cnn, quality_bands, simhash_tiles, vbyte_ids
+from pnlflow.llm.common import remainder_of_id, scratch_path, table, tokenizer_path
 
 
 def op2_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,11 +17,24 @@ def op2_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_bands.compression_bands(table(spark, sf_dir, "documents"))
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as sequences of 2048 byte-level BPE ids, each document ended by id 0."""
+    return best_fit_packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end=0, size=2048).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def op5_bwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated 200-byte strings of all documents."""
     return bwt_dedup.remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op6_vbyte_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents written as frequency-ranked ids and read back from the files."""
+    path = scratch_path(spark, "token-ids")
+    vbyte_ids.write(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end=1, path=path)
+    return vbyte_ids.read(spark, path)
+
+
 def op7_lang_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Languages of all documents; training sees three quarters of them only."""
     docs = table(spark, sf_dir, "documents")
@@ -35,7 +48,7 @@ def op8_simhash_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_compression_bands, op5_bwt_dedup, op7_lang_cnn, op8_simhash_tiles)}
+    return {f.__name__: f for f in (op2_compression_bands, op4_best_fit_packing, op5_bwt_dedup, op6_vbyte_ids, op7_lang_cnn, op8_simhash_tiles)}
 
 
 def oracle_sql() -> dict[str, str]:
