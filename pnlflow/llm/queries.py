@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pnlflow.llm import best_fit_packing, bwt_dedup, lang_cnn, quality_bands, simhash_tiles, vbyte_ids
+from pnlflow.llm import backoff_automaton, best_fit_packing, bpe_words, bwt_dedup, lang_cnn, quality_bands, simhash_tiles, vbyte_ids
 from pnlflow.llm.common import remainder_of_id, scratch_path, table, tokenizer_path
 
 
@@ -47,8 +47,19 @@ def op8_simhash_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_tiles.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2)
 
 
+def op9_bpe_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded and decoded, each distinct pre-token once."""
+    return bpe_words.encode(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_multi_50k.tiktoken"))
+
+
+def op10_backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents; four fifths of them are learned from."""
+    return backoff_automaton.score(table(spark, sf_dir, "documents"), learn=remainder_of_id("doc_id", 5) != 1)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_compression_bands, op4_best_fit_packing, op5_bwt_dedup, op6_vbyte_ids, op7_lang_cnn, op8_simhash_tiles)}
+    return {f.__name__: f for f in (op2_compression_bands, op4_best_fit_packing, op5_bwt_dedup, op6_vbyte_ids, op7_lang_cnn, op8_simhash_tiles,
+                                   op9_bpe_words, op10_backoff_automaton)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -27,18 +27,17 @@ class _Numbers(dict):
         return n
 
 
-class WordCodec:
-    """keeps_space: the vocabulary encodes white space (byte-level) or drops it."""
+class PieceCodec:
+    """keeps_space: the pre-tokenizer keeps white space (byte-level) or drops it.  ``_encode``
+    gives the numbers of some texts; those of a text's pieces are those of the text."""
 
-    def __init__(self, path: str, keeps_space: bool) -> None:
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+    def __init__(self, keeps_space: bool) -> None:
         self.keeps_space = keeps_space
         self._forget()
 
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        raise NotImplementedError
+
     def _forget(self) -> None:
         self.known, self.ids, self.start, self.unsafe = _Numbers(), np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(0, bool)
 
@@ -49,13 +48,13 @@ class WordCodec:
         self.known.new.clear()
         if self.keeps_space:  # a space before other white space belongs to one run with it
             self.unsafe = np.append(self.unsafe, [p[:1] == " " and p[1:2].isspace() or p == " " for p in new])
-        got = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+        got = self._encode(new)
         size = np.fromiter(map(len, got), np.int64, len(got))
         self.ids = np.append(self.ids, np.fromiter((x for y in got for x in y), np.uint32, int(size.sum())))
         self.start = np.append(self.start, self.start[-1] + np.cumsum(size))
 
     def whole(self, text: bytes) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text.decode("utf-8"), add_special_tokens=False).ids, np.uint32)
+        return np.array(self._encode([text.decode("utf-8")])[0], np.uint32)
 
     def pieces(self, text: bytes) -> list[bytes] | None:
         if not self.keeps_space:
@@ -98,6 +97,21 @@ class WordCodec:
         return ids, count
 
 
+class WordCodec(PieceCodec):
+    """A vocabulary file of the tokenizers library."""
+
+    def __init__(self, path: str, keeps_space: bool) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        super().__init__(keeps_space)
+
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+
 _codecs: dict[tuple[str, bool], WordCodec] = {}
 
 
