@@ -8,15 +8,54 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pnlflow.llm import backoff_automaton, best_fit_packing, bpe_words, bwt_dedup, lang_cnn, quality_bands, simhash_tiles, vbyte_ids
+from pnlflow.llm import backoff_automaton, best_fit_packing, bpe_words, bwt_dedup, lang_cnn, merkle_fixity, multi_index, quality_bands, simhash_tiles, vbyte_ids
 from pnlflow.llm.common import remainder_of_id, scratch_path, table, tokenizer_path
 
 
+def op1_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest of every 50th vector among all others."""
+    return multi_index.neighbours(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", asks=F.col("vec_id") % 50 == 0, top=5)
+
+
 def op2_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Compression bands over all documents."""
     return quality_bands.compression_bands(table(spark, sf_dir, "documents"))
 
 
+def op3_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An archive of all pages against a replica with rot: some records altered in place, some lost
+    on either side."""
+    pages = table(spark, sf_dir, "pages")
+    whole = merkle_fixity.archive(pages)
+    altered = F.when(F.col("page_id") % 101 == 7, F.translate("html", "ae", "ea")).otherwise(F.col("html"))
+    rotten = merkle_fixity.archive(pages.withColumn("html", altered))
+    return merkle_fixity.audit(whole.where("record_id % 307 <> 13"), rotten.where("record_id % 257 <> 11"))
+
+
+_FIXITY_SQL = """
+WITH replicas AS (
+  SELECT 1 AS side, page_id, coalesce(url, '') AS url, coalesce(html, '') AS html FROM pages
+  UNION ALL
+  SELECT 2, page_id, coalesce(url, ''), CASE WHEN page_id % 101 = 7 THEN translate(coalesce(html, ''), 'ae', 'ea') ELSE coalesce(html, '') END FROM pages),
+records AS (
+  SELECT side, page_id, page_id // 1024 AS volume,
+         'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Target-URI: ' || url || chr(13) || chr(10)
+         || 'Content-Length: ' || strlen(html) || chr(13) || chr(10) || chr(13) || chr(10) || html
+         || chr(13) || chr(10) || chr(13) || chr(10) AS record FROM replicas),
+placed AS (
+  SELECT side, page_id, volume, sha256(record) AS sha256,
+         CAST(sum(strlen(record)) OVER (PARTITION BY side, volume ORDER BY page_id ROWS UNBOUNDED PRECEDING) - strlen(record) AS BIGINT) AS "offset" FROM records),
+one AS (SELECT * FROM placed WHERE side = 1 AND page_id % 307 <> 13),
+two AS (SELECT * FROM placed WHERE side = 2 AND page_id % 257 <> 11)
+SELECT coalesce(one.volume, two.volume) AS volume, coalesce(one."offset", two."offset") AS "offset",
+       CASE WHEN two.page_id IS NULL THEN 'missing' WHEN one.page_id IS NULL THEN 'extra' ELSE 'damaged' END AS status,
+       CASE WHEN one.page_id IS NOT NULL THEN CAST(1 AS BIGINT) END AS first_records, one.page_id AS first_id, one.sha256 AS first_sha256,
+       CASE WHEN two.page_id IS NOT NULL THEN CAST(1 AS BIGINT) END AS second_records, two.page_id AS second_id, two.sha256 AS second_sha256
+FROM one FULL JOIN two ON one.volume = two.volume AND one."offset" = two."offset"
+WHERE one.sha256 IS DISTINCT FROM two.sha256
+"""
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as sequences of 2048 byte-level BPE ids, each document ended by id 0."""
     return best_fit_packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end=0, size=2048).select(
@@ -58,10 +97,10 @@ def op10_backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_compression_bands, op4_best_fit_packing, op5_bwt_dedup, op6_vbyte_ids, op7_lang_cnn, op8_simhash_tiles,
+    return {f.__name__: f for f in (op1_multi_index, op2_compression_bands, op3_merkle_fixity, op4_best_fit_packing, op5_bwt_dedup, op6_vbyte_ids, op7_lang_cnn, op8_simhash_tiles,
                                    op9_bpe_words, op10_backoff_automaton)}
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL where SQL can express the result."""
-    return {}
+    return {"op3_merkle_fixity": _FIXITY_SQL}
