@@ -5,8 +5,8 @@ first piece taking the remainder.  What then matters of a piece is its length, a
 are no more lengths than a sequence has places.  So the plan is made on the counts of the
 lengths: single lengths, pair sums and triple sums are looked up for the exact complement
 of each gap, and each combination is used as often as the counts allow; what remains is
-packed by best fit, again a whole combination at a time.  Every step uses up a length, so
-the plan has a few thousand entries, whatever the corpus.  Pieces find their place by
+packed by best fit, again a whole combination at a time.  Every step leaves fewer pieces of
+some length than it takes, so the plan has a few thousand entries, whatever the corpus.  Pieces find their place by
 their rank among the pieces of their length; ranks are counted in salted groups, so that
 one very common length is spread over many tasks.
 

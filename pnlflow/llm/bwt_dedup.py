@@ -53,7 +53,7 @@ class Settings:
     gram: int = 32  # bytes of a seed piece (a power of two)
     block: int = 40  # bytes of a symbol; divides length
     shards: int = 4  # transforms merged at a time
-    chunk: int = 192 << 10  # bytes of text merged at a time, if no group is larger
+    chunk: int = 96 << 10  # bytes of text merged at a time, if no group is larger
     crowd: int = 4096  # distinct texts in a group before it is split
     run: int = 4096  # starts in a stretch at most (periodic text has long runs)
 
@@ -97,9 +97,9 @@ def sliding_least(h: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(m[:len(m) - rest], m[rest:]) if rest else m
 
 
-def stretches(data: np.ndarray, at: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of string starts with one seed, within documents: document, start, count, seed, and
-    whether the run holds its seed piece more than once (then its own strings may repeat)."""
+def stretches(data: np.ndarray, at: np.ndarray, s: Settings, own: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of string starts with one seed, within documents: document, start, count, seed, and if
+    ``own``, whether the run holds its seed piece more than once (its own strings may repeat)."""
     none = np.zeros(0, np.int64)
     long = np.flatnonzero(np.diff(at) >= s.length)
     if not len(long):
@@ -117,15 +117,17 @@ def stretches(data: np.ndarray, at: np.ndarray, s: Settings) -> tuple[np.ndarray
     count = np.minimum(np.append(p[1:], len(least)), end[doc]) - p
     row, k = spread(-(-count // s.run))  # very long runs in parts
     start, count = p[row] + k * s.run, np.minimum(count[row] - k * s.run, s.run)
+    if not own:
+        return long[doc[row]], start - at[:-1][long[doc[row]]], count, least[start], none
     # pieces that are the least of a string: the largest of the leasts around them is their own
-    none = np.zeros(width - 1, U)
-    top = ~sliding_least(~np.concatenate((none, least, none)), width)
+    edge = np.zeros(width - 1, U)
+    top = ~sliding_least(~np.concatenate((edge, least, edge)), width)
     chosen = np.flatnonzero(pieces == top)
     value, number = np.unique(pieces[chosen], return_inverse=True)
     order = number * len(data) + chosen  # by value, then by place
     order.sort()
-    own = np.searchsorted(value, least[start]) * len(data) + start
-    twice = np.searchsorted(order, own + count + width - 1) - np.searchsorted(order, own) > 1
+    mine = np.searchsorted(value, least[start]) * len(data) + start
+    twice = np.searchsorted(order, mine + count + width - 1) - np.searchsorted(order, mine) > 1
     return long[doc[row]], start - at[:-1][long[doc[row]]], count, least[start], twice
 
 
@@ -143,9 +145,9 @@ def block_names(data: np.ndarray, size: int) -> np.ndarray:
     word = np.ascontiguousarray(words).view(U).ravel() if len(a) else np.zeros(0, U)
     for k in [*range(0, size - 8, 8), size - 8]:
         equal &= word[a + k] == word[b + k]
-    names = np.empty(len(h), np.int64)
+    names = np.empty(len(h), np.int32)
     if equal.all():
-        names[order] = np.cumsum(new)
+        names[order] = np.cumsum(new, dtype=np.int32)
     else:  # two blocks share a hash: name the bytes themselves
         rows = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, size)).view(f"V{size}").ravel()
         names[:] = np.unique(rows, return_inverse=True)[1] + 1
@@ -153,12 +155,13 @@ def block_names(data: np.ndarray, size: int) -> np.ndarray:
 
 
 def ranked(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The stable order of the keys, and each one's rank (equal keys: equal rank)."""
-    order = np.argsort(key, kind="stable") if len(key) >= 1 << 31 else stable_order(key)
+    """An order of the keys, and each one's rank (equal keys: equal rank)."""
+    order = np.argsort(key)
+    sorted_key = key[order]
     new = np.zeros(len(key), np.int64)
-    new[1:] = key[order[1:]] != key[order[:-1]]
+    np.cumsum(sorted_key[1:] != sorted_key[:-1], out=new[1:])
     rank = np.empty(len(key), np.int64)
-    rank[order] = np.cumsum(new)
+    rank[order] = new
     return order, rank
 
 
@@ -181,7 +184,7 @@ def shard_order(symbol: np.ndarray, last: np.ndarray, block: int, depth: int) ->
         more = min(have, depth - have)
         there = here + more * block
         follow = np.where(there <= last, rank[np.minimum(there, len(rank) - 1)] + 1, 0)
-        order, rank = ranked(ranked(rank * (len(rank) + 2) + follow)[1] if len(rank) > 40_000 else rank * (len(rank) + 2) + follow)
+        order, rank = ranked(rank * (len(rank) + 2) + follow)
         have += more
     return order
 
@@ -194,17 +197,17 @@ def merge(transforms: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndar
     z = np.repeat(np.arange(len(transforms), dtype=np.int8), [len(t) for t in transforms])
     common = np.full(n, depth, np.int16)
     common[:1] = 0
-    group = np.zeros(n, np.int64)
+    group = np.zeros(n, np.int32)
+    parted = np.zeros(n, bool)
     for h in range(depth):
-        symbol = np.empty(n, np.int64)
+        symbol = np.empty(n, np.int32)
         for k, t in enumerate(transforms):
             symbol[z == k] = t
         order = stable_order(symbol)
         z, symbol, group = z[order], symbol[order], group[order]
-        parted = np.zeros(n, bool)
-        parted[1:] = (symbol[1:] != symbol[:-1]) | (group[1:] != group[:-1])
+        np.logical_or(symbol[1:] != symbol[:-1], group[1:] != group[:-1], out=parted[1:])
         common[parted & (common == depth)] = h
-        group = np.cumsum(parted)
+        group = np.cumsum(parted, dtype=np.int32)
     return z, common
 
 
@@ -256,7 +259,7 @@ def _seeds(s: Settings):
     """Seeds and how often they occur in a slice."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, most=16 << 20):
-            found = [stretches(*utf8(b.column("text")), s)[3:] for b in slices([batch])]
+            found = [stretches(*utf8(b.column("text")), s, own=True)[3:] for b in slices([batch])]
             seed, where = np.unique(np.concatenate([x for x, _ in found]), return_inverse=True)
             count = np.bincount(where, weights=np.concatenate([1 + y for _, y in found]), minlength=len(seed))
             yield pa.RecordBatch.from_arrays([pa.array(seed.view(np.int64)), pa.array(count.astype(np.int64))], names=["seed", "n"])
