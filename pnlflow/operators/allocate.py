@@ -15,36 +15,33 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pnlflow.functions import scalars as S
-from pnlflow.operators.joins import bounded_broadcast, join_null_safe, materialize
+from pnlflow.operators.joins import join_null_safe, stored
 
 POSITIVE, NEGATIVE = "VOL_POS", "VOL_NEG"
 
 
-def spread_pool(df: DataFrame, pool: DataFrame, period: str, weight: str, target: str,
-                pool_col: str, period_bound: int) -> DataFrame:
+def spread_pool(df: DataFrame, per_period: DataFrame, period: str, weight: str, target: str,
+                pool_col: str, weight_total: str) -> DataFrame:
     """Spread a per-period pool over the rows of the period by their share of
     the period's weight:  target' = pool * weight / period_weight + target  when
-    weight != 0, else target.  The pool join is inner: periods without a pool row
-    disappear.  Both per-period tables have at most ``period_bound`` rows and are
-    broadcast."""
-    attached = attach_per_period(df, pool.select(period, pool_col), period, period_bound)  # J7
-    with_total = attach_period_total(attached, period, weight, "__period_weight", period_bound)  # A7 + J8
+    weight != 0, else target.  ``per_period`` has one row per period with the pool
+    and the weight total; the join is inner: periods without a row disappear."""
+    attached = attach_per_period(df, per_period.select(period, pool_col, weight_total), period)
     spread = (F.when(F.col(weight) != 0,
-                     S.money_from_double(F.col(pool_col).cast("double") * S.safe_divide(weight, "__period_weight")
+                     S.money_from_double(F.col(pool_col).cast("double") * S.safe_divide(weight, weight_total)
                                          + F.col(target).cast("double")))
               .otherwise(S.money(target)))
-    return with_total.withColumn(target, spread).drop(pool_col, "__period_weight")
+    return attached.withColumn(target, spread).drop(pool_col, weight_total)
 
 
-def attach_per_period(df: DataFrame, table: DataFrame, period: str, period_bound: int) -> DataFrame:
-    """Attach a per-period table (inner: rows of periods without an entry vanish)."""
-    return df.join(bounded_broadcast(table, period_bound), period, "inner")
+def attach_per_period(df: DataFrame, table: DataFrame, period: str) -> DataFrame:
+    """Attach a per-period table (inner: rows of periods without an entry vanish)."""
+    return df.join(table, period, "inner")
 
 
-def attach_period_total(df: DataFrame, period: str, weight: str, out: str, period_bound: int) -> DataFrame:
-    """A7 + J8: attach the period's own weight total (aggregate, then broadcast join)."""
-    total = df.groupBy(period).agg(F.sum(weight).alias(out))
-    return df.join(bounded_broadcast(total, period_bound), period, "inner")
+def period_total(df: DataFrame, period: str, weight: str, out: str) -> DataFrame:
+    """The weight total of each period."""
+    return df.groupBy(period).agg(F.sum(weight).alias(out))
 
 
 def net_sign_flag(df: DataFrame, group: Sequence[str], weight: str, flag: str = "flag") -> DataFrame:
@@ -72,30 +69,34 @@ def level_totals(df: DataFrame, levels: Sequence[str], scope: Sequence[str], wei
     of its lo group is 0 and that of its hi group is not.  Every condition
     depends only on the row's cell, so the pass-up is summed per cell first.
     The cell table is bounded by catalogue x periods, not by the fact size; it
-    is checkpointed so the level aggregates below repeat a small scan, not its
-    lineage."""
-    cells = materialize(df.groupBy(*levels, *scope).agg(F.sum(weight).alias("__w"), F.sum(cost).alias("__c")))
+    is stored, so the level aggregates below repeat a small scan, not its
+    lineage.  Groups are compared by NULL-free text keys, so a total and its
+    cells meet by plain equality."""
+    cells = (df.groupBy(*levels, *scope).agg(F.sum(weight).alias("__w"), F.sum(cost).alias("__c"))
+             .withColumns({f"__g{i}": group_key([lvl, *scope]) for i, lvl in enumerate(levels)})
+             .withColumn(f"__g{len(levels)}", group_key(scope)))
+    cells = stored(cells)
     names = [f"__vol_{i}" for i in range(len(levels))] + ["__vol_scope"]
     out = cells
-    for i, lvl in enumerate(levels):
-        aggs = [F.sum("__w").alias(names[i])]
-        if i == 0:
-            aggs.append(F.sum("__c").alias("__cost_0"))
-        out = join_null_safe(out, cells.groupBy(lvl, *scope).agg(*aggs), [lvl, *scope])
-    out = join_null_safe(out, cells.groupBy(*scope).agg(F.sum("__w").alias(names[-1])), list(scope))
+    for i, name in enumerate(names):
+        aggs = [F.sum("__w").alias(name)] + ([F.sum("__c").alias("__cost_0")] if i == 0 else [])
+        out = out.join(cells.groupBy(f"__g{i}").agg(*aggs), f"__g{i}")
     # pass-up from each level to the next one (the last level passes to the scope)
-    uppers = [[lvl] for lvl in levels[1:]] + [[]]
-    # read by the four pass-up aggregates below: checkpointed as well (small table)
-    out = materialize(out.select(
-        "*", *[F.when((F.col(names[i]) == 0) & (F.col(names[i + 1]) != 0), F.col("__c"))
-               .otherwise(F.lit(0)).alias(f"__pass_{i + 1}") for i in range(len(uppers))]))
+    upper = range(1, len(levels) + 1)
+    out = out.select("*", *[F.when((F.col(names[i - 1]) == 0) & (F.col(names[i]) != 0), F.col("__c"))
+                            .otherwise(F.lit(0)).alias(f"__pass_{i}") for i in upper])
+    out = stored(out)  # read by every pass-up aggregate
     result = out
-    for i, upper in enumerate(uppers):
-        passed = out.groupBy(*upper, *scope).agg(F.sum(f"__pass_{i + 1}").alias(f"__passed_{i + 1}"))
-        result = join_null_safe(result, passed, [*upper, *scope])
+    for i in upper:
+        result = result.join(out.groupBy(f"__g{i}").agg(F.sum(f"__pass_{i}").alias(f"__passed_{i}")), f"__g{i}")
     return result
 
 
+def group_key(columns: Sequence[str]) -> Column:
+    """One text per combination of values, NULL being a value of its own."""
+    return F.concat_ws("\u001f", *[F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in columns])
+
+
 def attach_level_totals(df: DataFrame, levels: Sequence[str], scope: Sequence[str], weight: str, cost: str,
                         columns: Sequence[str]) -> DataFrame:
     """W2-W4 per row: join the chosen per-cell totals back to the rows."""
@@ -125,10 +126,15 @@ def cascade_allocate(df: DataFrame, levels: Sequence[str], scope: Sequence[str],
     return joined.withColumn(out, S.money_from_double(expr)).drop(*[f"__f{i}" for i in range(len(factors))])
 
 
+def with_group_totals(df: DataFrame, group: Sequence[str], sums: dict[str, str]) -> DataFrame:
+    """Every row with the sums of its group (column -> name of its sum)."""
+    totals = df.groupBy(*group).agg(*[F.sum(c).alias(name) for c, name in sums.items()])
+    return join_null_safe(df, totals, group)
+
+
 def prorate_within(df: DataFrame, group: Sequence[str], weight: str, cost: str, out: str) -> DataFrame:
     """Single-level proration: out = group_cost * (weight / group_weight), no fallback."""
-    totals = df.groupBy(*group).agg(F.sum(weight).alias("__gw"), F.sum(cost).alias("__gc"))
-    return (join_null_safe(df, totals, group)
+    return (with_group_totals(df, group, {weight: "__gw", cost: "__gc"})
             .withColumn(out, S.money_from_double(F.col("__gc").cast("double") * S.safe_divide(weight, "__gw")))
             .drop("__gw", "__gc"))
 

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from pnlflow import rules
 from pnlflow.functions import scalars as S
-from pnlflow.operators.joins import checked_broadcast
 from pnlflow.rules import JobParams
 
 PRODUCT_ATTRS = ["category", "bsp", "brand", "ff"]
@@ -24,7 +23,7 @@ MEASURES = ["cogs_logistic", "cogs_manufacturing", "g2n", "gross_sales", "volume
 def product_dim(product_hier: DataFrame, brand_hier: DataFrame) -> DataFrame:
     """Product hierarchy with its brand description (left join; a brand segment
     listed twice fans the SKU out)."""
-    brands = checked_broadcast(brand_hier.select("brand_segment", "brand"), basis=brand_hier)
+    brands = brand_hier.select("brand_segment", "brand")
     return (product_hier.join(brands, product_hier["bws"] == brands["brand_segment"], "left")
             .select("sku", "category", "brand", F.col("bws_desc").alias("bsp"), "ff"))
 
@@ -39,16 +38,15 @@ def customer_dim(customer_flat: DataFrame, customer_area: DataFrame, customer: D
             .select("area_id", F.col("sales_org").alias("bu"),
                     S.label("level2", rules.CHANNEL_BY_LEVEL2, F.col("level2")).alias("channel"),
                     F.col("level5").alias("subchannel")))
-    areas = checked_broadcast(customer_area.select("area_id", "customer_id"), basis=customer_area)
-    names = checked_broadcast(customer.select("customer_id", "customer_name"), basis=customer)
+    areas = customer_area.select("area_id", "customer_id")
+    names = customer.select("customer_id", "customer_name")
     return (flat.join(areas, "area_id").join(names, "customer_id")
             .select("bu", "channel", "subchannel", F.col("customer_id").alias("customer"), "customer_name"))
 
 
 def attach_product(conformed: DataFrame, product: DataFrame) -> DataFrame:
     """J3 + A3: inner join on SKU, then sum by the ten keys."""
-    prod = checked_broadcast(product)
-    return (conformed.join(prod, "sku", "inner")
+    return (conformed.join(product, "sku", "inner")
             .groupBy(*LEDGER_PRODUCT_KEYS)
             .agg(*[F.sum(m).alias(m) for m in MEASURES]))
 
@@ -56,16 +54,53 @@ def attach_product(conformed: DataFrame, product: DataFrame) -> DataFrame:
 def orphan_report(fact: DataFrame, dim: DataFrame, key: str, by: Sequence[str],
                   measures: Sequence[str] = MEASURES) -> DataFrame:
     """D10 (J4 / J6): measures of fact rows whose key has no dimension row, summed by ``by``."""
-    keys = checked_broadcast(dim.select(key).where(F.col(key).isNotNull()).distinct(), basis=dim)
+    keys = dim.select(key).where(F.col(key).isNotNull()).distinct()
     return (fact.join(keys, key, "left_anti")
             .groupBy(*by)
             .agg(*[F.sum(m).alias(m) for m in measures]))
 
 
+def join_customer_attributes(ledger_product: DataFrame, customers: DataFrame) -> DataFrame:
+    """Left join to the distinct customer attributes; a customer with several fans out."""
+    attrs = customers.select("customer", *CUSTOMER_ATTRS).distinct()
+    return ledger_product.join(attrs, "customer", "left")
+
+
 def attach_customer(ledger_product: DataFrame, customers: DataFrame) -> DataFrame:
-    """J5 + A5: left join to the distinct customer attributes, then collapse exact key
-    duplicates with MAX.  A customer with several attribute rows fans out."""
-    attrs = checked_broadcast(customers.select("customer", *CUSTOMER_ATTRS).distinct(), basis=customers)
-    return (ledger_product.join(attrs, "customer", "left")
+    """J5 + A5: attach the customer attributes, then collapse exact key duplicates with MAX."""
+    return (join_customer_attributes(ledger_product, customers)
             .groupBy(*ACTUALS_KEYS)
             .agg(*[F.max(m).alias(m) for m in MEASURES]))
+
+
+MATCHES = ["has_product", "has_customer"]
+
+
+def attach_dimensions(conformed: DataFrame, product: DataFrame, customers: DataFrame) -> DataFrame:
+    """J3-J6, A3 and A5 in one pass over the fact: both dimensions are attached by LEFT joins
+    that leave a flag, so the matched rows (``has_product``), the rows of unknown SKUs (not
+    ``has_product``) and of unknown customers (not ``has_customer``) are parts of one table.
+    Rows of unknown SKUs take no customer attributes, hence do not fan out."""
+    known = product.withColumn("has_product", F.lit(True))
+    with_product = (conformed.join(known, "sku", "left")
+                    .withColumn("has_product", F.coalesce("has_product", F.lit(False)))
+                    .groupBy(*LEDGER_PRODUCT_KEYS, "has_product")
+                    .agg(*[F.sum(m).alias(m) for m in MEASURES]))
+    attrs = (customers.select(F.col("customer").alias("__customer"), *CUSTOMER_ATTRS).distinct()
+             .withColumn("has_customer", F.lit(True)))
+    return (with_product.join(attrs, F.col("has_product") & (F.col("customer") == F.col("__customer")), "left")
+            .withColumn("has_customer", F.coalesce("has_customer", F.lit(False)))
+            .groupBy(*ACTUALS_KEYS, *MATCHES)
+            .agg(*[F.max(m).alias(m) for m in MEASURES]))
+
+
+def orphan_totals(flagged: DataFrame, period: str = "period_year") -> DataFrame:
+    """A6 and A7 from the flagged table: per period the manufacturing cost of rows without SKU or
+    customer, and the volume of the rows it is spread over.  Periods without such rows have no
+    entry."""
+    orphan = ~F.col("has_product") | ~F.col("has_customer")
+    return (flagged.groupBy(period)
+            .agg(F.sum(F.when(orphan, F.col("cogs_manufacturing"))).alias("cogs_manufacturing_dis"),
+                 F.sum(F.when(F.col("has_product"), F.col("volume_net"))).alias("volume_net_year"),
+                 F.count_if(orphan).alias("__orphans"))
+            .where("__orphans > 0").drop("__orphans"))

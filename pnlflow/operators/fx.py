@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from pnlflow import rules
 from pnlflow.functions import scalars as S
-from pnlflow.operators.joins import checked_broadcast
 from pnlflow.rules import JobParams
 
 RATE_COLUMNS = ["ACRate", "ActRate", "ACPYRate", "ActPYRate"]
@@ -58,34 +57,18 @@ def exchange_rates(rates: DataFrame, p: JobParams) -> DataFrame:
             .agg(*[F.max(c).alias(c) for c in RATE_COLUMNS]))
 
 
-def convert(long_df: DataFrame, rates: DataFrame, keys: Sequence[str], amount: str = "amount",
-            account: str = "account", quantity_account: str = "VOLUME",
-            rates_source: DataFrame | None = None) -> DataFrame:
-    """J12 + A17 + C16: local amounts at the actual, alternative and prior-year rate.
-    The currency is not a key of the result.  Quantity rows are not converted.
-    The rate table has one row per (period, currency), so it has no more rows than
-    the raw rate source it is grouped from (``rates_source``, when given)."""
-    r = checked_broadcast(rates.select("fiscper", F.col("currency").alias("__rate_currency"), "ActRate",
-                                       "ACRate", "ActPYRate"), basis=rates_source)
-    joined = long_df.join(r, (F.col("currency_copa") == F.col("__rate_currency"))
-                          & (F.col("period_year") == F.col("fiscper")), "left")
-    total = F.sum(amount)
-
-    def at(rate: str) -> F.Column:
-        return (F.when(F.col(account) != F.lit(quantity_account), S.money_from_double(S.plain_divide(total, F.max(rate))))
-                .otherwise(S.money(total)))
-
-    return (joined.groupBy(*keys, account)
-            .agg(total.alias("amount_lcl"),
-                 at("ActRate").alias("amount_usd"),
-                 at("ACRate").alias("value_ac_rate"),
-                 at("ActPYRate").alias("value_py_rate")))
+def attach_rates(df: DataFrame, rates: DataFrame) -> DataFrame:
+    """The three rates of each row's currency and period (left)."""
+    r = rates.select("fiscper", F.col("currency").alias("__rate_currency"), "ActRate", "ACRate", "ActPYRate")
+    return (df.join(r, (F.col("currency_copa") == F.col("__rate_currency")) & (F.col("period_year") == F.col("fiscper")), "left")
+            .drop("fiscper", "__rate_currency"))
 
 
 def convert_wide(wide: DataFrame, rates: DataFrame, keys: Sequence[str], measures: Sequence[str],
-                 quantity_account: str = "VOLUME", rates_source: DataFrame | None = None) -> DataFrame:
-    """D6 on the wide table: the same result as unpivoting ``measures`` (dropping NULL
-    amounts) and then ``convert`` -- but the aggregate runs on the wide rows.
+                 quantity_account: str = "VOLUME") -> DataFrame:
+    """D6 (J12, A17, C16) on the wide table: local amounts at the actual, alternative and
+    prior-year rate.  The currency is not a key of the result, quantities are not
+    converted, NULL amounts give no row; the aggregate runs on the wide rows.
 
     Per key and measure: the sum of the measure and the largest rate over the rows
     where the measure is present; a (key, account) row exists iff some row has the
@@ -93,10 +76,7 @@ def convert_wide(wide: DataFrame, rates: DataFrame, keys: Sequence[str], measure
     keeps the hash partitioning of the aggregate, so a later rollup on a superset of
     the keys needs no new shuffle.  The shuffle carries the wide rows, not the
     seven-times larger long form."""
-    r = checked_broadcast(rates.select("fiscper", F.col("currency").alias("__rate_currency"), "ActRate",
-                                       "ACRate", "ActPYRate"), basis=rates_source)
-    joined = wide.join(r, (F.col("currency_copa") == F.col("__rate_currency"))
-                       & (F.col("period_year") == F.col("fiscper")), "left")
+    joined = attach_rates(wide, rates)
     aggs = []
     for i, m in enumerate(measures):
         present = F.col(m).isNotNull()

@@ -1,73 +1,18 @@
-"""Join helpers: checked broadcast and NULL-safe key joins."""
+"""Join helpers: stored dimensions, NULL-safe key joins and lineage cuts.
+
+No join carries a broadcast hint.  Dimensions that are derived by joins are stored
+first, so the optimizer knows their size from the files and broadcasts them only
+below ``spark.sql.autoBroadcastJoinThreshold``; larger ones are shuffled, and
+adaptive execution splits what is skewed.
+"""
 
 from __future__ import annotations
 
-import weakref
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-# Upper bound for a broadcast side, in bytes of Spark's per-row default size.
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
-_CONF_KEY = "pnlflow.broadcast.maxBytes"
-
-
-def _field_bytes(dt: T.DataType) -> int:
-    """Spark's default per-value size estimate of a type."""
-    if isinstance(dt, T.StringType):
-        return 20
-    if isinstance(dt, T.DecimalType):
-        return 8 if dt.precision <= 18 else 16
-    if isinstance(dt, (T.IntegerType, T.DateType, T.FloatType)):
-        return 4
-    if isinstance(dt, (T.BooleanType, T.ByteType)):
-        return 1
-    return 8
-
-
-def _row_bytes(df: DataFrame) -> int:
-    return max(8, sum(_field_bytes(f.dataType) for f in df.schema.fields))
-
-
-def broadcast_limit_rows(df: DataFrame) -> int:
-    limit = int(df.sparkSession.conf.get(_CONF_KEY, str(DEFAULT_BROADCAST_BYTES)))
-    return max(1, limit // _row_bytes(df))
-
-
-_PROVEN: "weakref.WeakKeyDictionary[DataFrame, int]" = weakref.WeakKeyDictionary()
-
-
-def _row_count_upto(df: DataFrame, limit: int) -> int:
-    """Rows of ``df``, counted only up to ``limit + 1`` (cached per DataFrame object)."""
-    if df not in _PROVEN:
-        _PROVEN[df] = df.limit(limit + 1).count()
-    return _PROVEN[df]
-
-
-def checked_broadcast(dim: DataFrame, basis: DataFrame | None = None, factor: int = 1) -> DataFrame:
-    """Broadcast a dimension only after proving it is small.
-
-    The proof is a bounded count (``limit(n + 1).count()``), which stops after
-    ``n + 1`` rows: cheap for a small table, bounded for a large one.  A table
-    derived from another one by projection, filter, distinct, grouping or a
-    union of ``factor`` such parts has at most ``factor`` times the rows of its
-    ``basis``, so the count of the basis (done once per DataFrame object) is
-    proof enough.  Beyond the limit the plain DataFrame is returned and Spark
-    plans a shuffle join (AQE may still convert it at run time).  Use this on
-    dimensions only: counting a table derived from a fact would re-run the
-    fact's lineage."""
-    n = broadcast_limit_rows(dim)
-    base = dim if basis is None else basis
-    if _row_count_upto(base, n) * factor <= n:
-        return F.broadcast(dim)
-    return dim
-
-
-def bounded_broadcast(df: DataFrame, bound_rows: int) -> DataFrame:
-    """Broadcast a table whose row count is bounded by construction (e.g. one row per period)."""
-    return F.broadcast(df) if bound_rows <= broadcast_limit_rows(df) else df
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -91,3 +36,24 @@ def materialize(df: DataFrame) -> DataFrame:
 
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def _scratch(spark: SparkSession) -> str:
+    from pnlflow.session import ensure_checkpoint_dir
+
+    return f"{ensure_checkpoint_dir(spark)}/stored-{spark.sparkContext.applicationId}"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write a table that several stages read (a derived dimension, totals by period, allocation
+    cells) as Parquet to the shared ``spark.checkpoint.dir`` and read it back: later readers
+    prune columns, and its size is known when joins are planned."""
+    path = f"{_scratch(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_stored(spark: SparkSession) -> None:
+    """Remove all stored tables of this application; call it once its results are written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

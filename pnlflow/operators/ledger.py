@@ -72,9 +72,7 @@ def _gross(p: JobParams) -> Column:
     if p.company in rules.SCALED_COMPANIES:
         return F.lit(100) * g
     if p.company in rules.INDICATOR_COMPANIES:
-        return (F.when(F.col("indicator_a") == rules.INDICATOR_KEEP_GROSS, g)
-                .when(F.col("indicator_a") == rules.INDICATOR_GROSS_AS_ALLOWANCE, F.lit(0))
-                .otherwise(g))
+        return F.when(F.col("indicator_a") == rules.INDICATOR_GROSS_AS_ALLOWANCE, F.lit(0)).otherwise(g)
     return g
 
 
@@ -83,9 +81,7 @@ def _allowance_returns(p: JobParams) -> Column:
     if p.company in rules.SCALED_COMPANIES:
         return F.lit(100) * a + r  # only the first term is scaled
     if p.company in rules.INDICATOR_COMPANIES:
-        return (F.when(F.col("indicator_a") == rules.INDICATOR_KEEP_GROSS, a + r)
-                .when(F.col("indicator_a") == rules.INDICATOR_GROSS_AS_ALLOWANCE, g + r)
-                .otherwise(a + r))
+        return F.when(F.col("indicator_a") == rules.INDICATOR_GROSS_AS_ALLOWANCE, g + r).otherwise(a + r)
     return a + r
 
 

@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 
 from pnlflow import rules
 from pnlflow.functions import scalars as S
-from pnlflow.operators.planning import cluster_lookup
+from pnlflow.operators.planning import attach_clusters, cluster_lookup
 from pnlflow.operators.reshape import unpivot_drop_nulls
-from pnlflow.operators.joins import checked_broadcast
 from pnlflow.rules import JobParams
 
 LONG_KEYS = ["sku", "customer", "customer_name", "country", "bsp", "brand", "category", "ff", "period_year",
@@ -24,7 +23,8 @@ def pnl_wide(union: DataFrame) -> DataFrame:
     """The seven measures summed per twelve dimensions (column = account name).
     All seven get the money scale, so the long form holds one type without losing
     the allocated decimals (a common type of (38,2) and (38,6) would round to cents)."""
-    return union.groupBy(*LONG_KEYS).agg(*[S.money(F.sum(m)).alias(m.upper()) for m in WIDE_MEASURES])
+    # dealt by the conversion's keys: this rollup, the conversion and the final one all run on it
+    return union.repartition(*FX_KEYS).groupBy(*LONG_KEYS).agg(*[S.money(F.sum(m)).alias(m.upper()) for m in WIDE_MEASURES])
 
 
 def pnl_long(union: DataFrame) -> DataFrame:
@@ -45,9 +45,7 @@ def labels(account: str) -> list[Column]:
 def actuals_final(converted: DataFrame, clusters: DataFrame, p: JobParams) -> DataFrame:
     """J13 + A18 + C8: attach the market clusters of the run's entity, roll up and shape
     the output columns."""
-    clus = checked_broadcast(cluster_lookup(clusters, p.entity), basis=clusters)
-    joined = converted.join(clus, F.col("country") == F.col("country_key"), "left")
-    agg = (joined.groupBy("sku", "customer", "customer_name", "bsp", "brand", "category", "ff", "period_year",
+    agg = (attach_clusters(converted, cluster_lookup(clusters, p.entity)).groupBy("sku", "customer", "customer_name", "bsp", "brand", "category", "ff", "period_year",
                           "channel", "subchannel", "cluster1", "cluster2", "country", "account")
            .agg(F.sum("value_ac_rate").alias("Value_AC_Rate"),
                 F.sum("value_py_rate").alias("Value_PY_Rate"),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from pnlflow import rules
 from pnlflow.functions import scalars as S
-from pnlflow.operators.joins import checked_broadcast
+from pnlflow.operators.joins import stored
 from pnlflow.rules import JobParams
 
 BASE_KEYS = ["scenario", "date", "account", "entity", "product", "currency", "channel", "version"]
@@ -30,7 +30,7 @@ def planning_base(facts: DataFrame, p: JobParams) -> DataFrame:
 def product_rollup(product_hier: DataFrame, brand_hier: DataFrame) -> DataFrame:
     """A20 (+ J1): one row per (category, brand, brand segment, sub-brand) with an
     arbitrary SKU and format/flavor; MIN makes the choice deterministic."""
-    brands = checked_broadcast(brand_hier.select("brand_segment", "brand"), basis=brand_hier)
+    brands = brand_hier.select("brand_segment", "brand")
     return (product_hier.join(brands, product_hier["bws"] == brands["brand_segment"], "left")
             .groupBy("category", "brand", "bws", F.col("bws_desc").alias("subbrand"))
             .agg(F.min("ff").alias("format_flavor"), F.min("sku").alias("sku")))
@@ -55,18 +55,35 @@ def cluster_lookup(clusters: DataFrame, entity: str | None = None) -> DataFrame:
     return c.select(F.upper("country").alias("country_key"), "cluster1", "cluster2")
 
 
+def attach_products(base: DataFrame, products: DataFrame) -> DataFrame:
+    """Left join to the product rollup."""
+    return base.join(products, base["product"] == products["bws"], "left")
+
+
+def attach_accounts(base: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Inner join to the account map; a code under several levels fans out."""
+    mapping = accounts.select("account_code", F.col("account").alias("level_account"))
+    return base.join(mapping, F.col("account") == F.col("account_code"), "inner")
+
+
+def attach_clusters(df: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Left join to the clusters of the row's country; may fan out."""
+    return df.join(lookup, F.col("country") == F.col("country_key"), "left")
+
+
+def with_country(base: DataFrame) -> DataFrame:
+    """The country of the planning entity."""
+    return base.withColumn("country", S.label("entity", rules.PLANNING_ENTITY_COUNTRY))
+
+
 def planning_enriched(base: DataFrame, product_hier: DataFrame, brand_hier: DataFrame, accounts: DataFrame,
                       clusters: DataFrame) -> DataFrame:
     """J14 + J15 + J16 + A22: product rollup (left), account map (inner, may fan out),
     clusters for every entity (left, may fan out), summed by twelve keys."""
-    prod = checked_broadcast(product_rollup(product_hier, brand_hier))
-    acct = checked_broadcast(account_map(accounts), basis=accounts, factor=3)
-    clus = checked_broadcast(cluster_lookup(clusters), basis=clusters)
-    b = base.withColumn("country", S.label("entity", rules.PLANNING_ENTITY_COUNTRY))
-    joined = (b.join(prod, b["product"] == prod["bws"], "left")
-              .join(acct.select(F.col("account_code"), F.col("account").alias("level_account")),
-                    F.col("account") == F.col("account_code"), "inner")
-              .join(clus, F.col("country") == F.col("country_key"), "left"))
+    joined = attach_clusters(
+        attach_accounts(attach_products(with_country(base), stored(product_rollup(product_hier, brand_hier))),
+                        stored(account_map(accounts))),
+        cluster_lookup(clusters))
     return (joined.groupBy(
                 "sku", "channel", "category", "date", "scenario", "format_flavor", "subbrand", "brand",
                 F.col("cluster1").alias("area"), F.col("cluster2").alias("cluster"),

@@ -22,6 +22,13 @@ def ledger_summary(actuals: DataFrame) -> DataFrame:
                  F.sum("volume_net").alias("volume")))
 
 
+def join_ledger(reporting: DataFrame, actuals: DataFrame) -> DataFrame:
+    """Reporting rows with the ledger summary of their (sku, period), its measures as __l_*."""
+    ledger = ledger_summary(actuals).select(
+        "sku", "period_year", *LEDGER_ATTRS, *[F.col(m).alias(f"__l_{m}") for m in DELTA_MEASURES])
+    return reporting.select("sku", "period_year", "country", *DELTA_MEASURES).join(ledger, ["sku", "period_year"], "left")
+
+
 def reconcile_delta(reporting: DataFrame, actuals: DataFrame) -> DataFrame:
     """Reporting minus ledger per reporting key (sku, period, country) and ledger
     attribute combination; NULL -> 0 on both sides.
@@ -32,10 +39,7 @@ def reconcile_delta(reporting: DataFrame, actuals: DataFrame) -> DataFrame:
     per (sku, period, country) and the ledger summary one per attribute
     combination, so every output group holds exactly one joined row and the
     difference of sums is a difference of values (no extra aggregation)."""
-    ledger = ledger_summary(actuals).select(
-        "sku", "period_year", *LEDGER_ATTRS, *[F.col(m).alias(f"__l_{m}") for m in DELTA_MEASURES])
-    joined = reporting.select("sku", "period_year", "country", *DELTA_MEASURES).join(
-        ledger, ["sku", "period_year"], "left")
+    joined = join_ledger(reporting, actuals)
     return joined.select(
         "period_year", "sku", "country", *LEDGER_ATTRS,
         *[(S.zero_if_null(m) - S.zero_if_null(f"__l_{m}")).alias(m) for m in DELTA_MEASURES])

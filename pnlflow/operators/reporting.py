@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pnlflow import rules
 from pnlflow.functions import scalars as S
-from pnlflow.operators.joins import checked_broadcast
+from pnlflow.operators.joins import stored
 from pnlflow.operators.reshape import pivot_sum
 from pnlflow.rules import JobParams
 
@@ -21,31 +21,34 @@ def reporting_scope(facts: DataFrame, p: JobParams) -> DataFrame:
                        & (F.col("date") > F.lit(p.reporting_start)))
 
 
-def account_extracts(facts: DataFrame, accounts: DataFrame, entities: DataFrame, p: JobParams) -> DataFrame:
-    """J9 + A10: amounts per entity, period, account and SKU, rounded to cents per extract.
+def extract_map(accounts: DataFrame, entities: DataFrame, p: JobParams) -> DataFrame:
+    """(entity, account code) -> extract and account: the level-8 and level-7 accounts through the
+    account and entity hierarchies (a duplicated row of either counts twice, a code under two
+    levels is in both extracts), and the leaf volume codes as they are (extract 0)."""
+    acct = accounts.select("account_code", "level_08", "level_07")
+    levels = (acct.where(F.col("level_08").isin(*rules.REPORTING_LEVEL_08))
+              .select("account_code", F.lit(8).alias("extract"), F.col("level_08").alias("account"))
+              .unionByName(acct.where(F.col("level_07").isin(*rules.REPORTING_LEVEL_07))
+                           .select("account_code", F.lit(7).alias("extract"), F.col("level_07").alias("account"))))
+    own = entities.where(F.col("entity") == F.lit(p.entity)).select("entity")
+    leaf = accounts.sparkSession.createDataFrame([(p.entity, c, 0, c) for c in rules.REPORTING_LEAF],
+                                                 "entity string, account_code string, extract int, account string")
+    keyed = levels.withColumn("entity", F.lit(p.entity)).join(own, "entity")
+    return keyed.select("entity", "account_code", "extract", "account").unionByName(leaf)
+
+
+def join_accounts(scoped: DataFrame, mapping: DataFrame) -> DataFrame:
+    """Facts with the extracts and accounts that they count for."""
+    return scoped.join(mapping, ["entity", "account_code"])
 
-    Three extracts: level-8 accounts and level-7 accounts through the account and
-    entity hierarchies (inner joins: a duplicated hierarchy row doubles the
-    amount, a code under two levels appears in both), and the leaf volume code
-    taken from the facts directly.  The two hierarchy extracts share one scan
-    and one join: the account map is unpivoted to (code, level, account) first."""
+
+def account_extracts(facts: DataFrame, accounts: DataFrame, entities: DataFrame, p: JobParams) -> DataFrame:
+    """J9 + A10: amounts per entity, period, account and SKU, rounded to cents per extract.  All
+    three extracts come from one scan of the facts and one join."""
     scoped = reporting_scope(facts, p).select(
         "entity", S.fiscal_period("date").alias("period_year"), "account_code",
         S.replace_text("sku", rules.REPORTING_SKU_PREFIX, rules.SKU_PREFIX).alias("sku"), "value")
-    acct = accounts.select("account_code", "level_08", "level_07")
-    level_map = (acct.where(F.col("level_08").isin(*rules.REPORTING_LEVEL_08))
-                 .select("account_code", F.lit(8).alias("extract"), F.col("level_08").alias("account"))
-                 .unionByName(acct.where(F.col("level_07").isin(*rules.REPORTING_LEVEL_07))
-                              .select("account_code", F.lit(7).alias("extract"),
-                                      F.col("level_07").alias("account"))))
-    ents = checked_broadcast(entities.where(F.col("entity") == F.lit(p.entity)).select("entity"), basis=entities)
-    via_hierarchy = (scoped.join(checked_broadcast(level_map, basis=accounts, factor=2), "account_code")
-                     .join(ents, "entity")
-                     .select("extract", "entity", "period_year", "account", "sku", "value"))
-    leaf = (scoped.where(F.col("account_code").isin(*rules.REPORTING_LEAF))
-            .select(F.lit(0).alias("extract"), "entity", "period_year", F.col("account_code").alias("account"),
-                    "sku", "value"))
-    return (via_hierarchy.unionByName(leaf)
+    return (join_accounts(scoped, stored(extract_map(accounts, entities, p)))
             .groupBy("extract", "entity", "period_year", "account", "sku")
             .agg(F.round(F.sum("value"), 2).alias("value")))
 

@@ -8,6 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from pnlflow.sources import testviews
+from pnlflow.sources.schemas import conform
 
 INPUT_NAMES = tuple(testviews.VIEWS)
 
@@ -26,15 +27,26 @@ class Inputs:
     fx_rates: DataFrame
     country_clusters: DataFrame
     planning_facts: DataFrame
+    #: Account hierarchy of the planning side, if it is kept apart from the reporting side's.
+    planning_account_hier: DataFrame | None = None
 
+    @property
+    def planning_accounts(self) -> DataFrame:
+        return self.account_hier if self.planning_account_hier is None else self.planning_account_hier
 
-def read_inputs(spark: SparkSession, locations: Mapping[str, str], fmt: str = "parquet") -> Inputs:
-    """Production inputs: one path (or catalog table name when ``fmt == 'table'``) per logical input.
-    Filters and column pruning of the stages reach these scans through Catalyst."""
+
+def read_inputs(spark: SparkSession, locations: Mapping[str, str], fmt: str = "parquet",
+                columns: Mapping[str, Mapping[str, str]] | None = None) -> Inputs:
+    """Production inputs: one path (or catalog table name when ``fmt == 'table'``) per logical input,
+    in the declared columns and types; ``columns`` maps logical to source columns per input.
+    ``planning_account_hier`` is optional.  Filters and column pruning of the stages reach
+    these scans through Catalyst."""
     def read(name: str) -> DataFrame:
         loc = locations[name]
-        return spark.read.table(loc) if fmt == "table" else spark.read.format(fmt).load(loc)
-    return Inputs(**{n: read(n) for n in INPUT_NAMES})
+        df = spark.read.table(loc) if fmt == "table" else spark.read.format(fmt).load(loc)
+        return conform(df, name, (columns or {}).get(name))
+    optional = [n for n in ("planning_account_hier",) if n in locations]
+    return Inputs(**{n: read(n) for n in (*INPUT_NAMES, *optional)})
 
 
 def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,12 +68,14 @@ def derived_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
     return Inputs(**views)
 
 
-def write_result(df: DataFrame, path: str, partition_by: str | None = "PERIOD_YEAR") -> None:
-    """Replace the result table.  With partitioning, rows are sorted by the
-    partition column inside each task (no shuffle, no single task per period), so
-    every task writes one file per period it holds."""
-    if partition_by:
-        (df.sortWithinPartitions(partition_by)
-         .write.mode("overwrite").partitionBy(partition_by).parquet(path))
+def write_result(df: DataFrame, target: str, as_table: bool = False) -> None:
+    """Replace the result, a catalog table or a Parquet folder, in the order and types of its
+    columns.  Rows are rebalanced by period (large periods are split, small ones share a
+    task) and sorted by it within each file, so files grow with the data, not with tasks
+    times periods, and a filter on the period skips row groups."""
+    ordered = df.hint("rebalance", "PERIOD_YEAR").sortWithinPartitions("PERIOD_YEAR")
+    writer = ordered.write.mode("overwrite").format("parquet")
+    if as_table:
+        writer.saveAsTable(target)
     else:
-        df.write.mode("overwrite").parquet(path)
+        writer.save(target)

@@ -1,12 +1,13 @@
 """Hand-worked cases of FIXTURES.md (G1-G9) on tiny frames."""
 
 import datetime as dt
-from decimal import Decimal as D
+from decimal import Decimal as D, localcontext
 
+import pytest
 from pyspark.sql import functions as F
 
 from pnlflow import rules
-from pnlflow.operators import allocate, fx, ledger, planning, reconcile
+from pnlflow.operators import allocate, fx, ledger, planning, reconcile, reshape
 from pnlflow.rules import JobParams
 
 DEC = "decimal(18,2)"
@@ -38,7 +39,8 @@ def test_g2_pool_spread(spark):
          ("p2", D("5"), D("5"))],
         f"period string, vol {DEC}, cost {DEC}")
     pool = spark.createDataFrame([("p1", D("50"))], f"period string, pool {DEC}")
-    out = allocate.spread_pool(rows, pool, "period", "vol", "cost", "pool", 16).collect()
+    table = pool.join(allocate.period_total(rows, "period", "vol", "total"), "period")
+    out = allocate.spread_pool(rows, table, "period", "vol", "cost", "pool", "total").collect()
     got = sorted(float(r["cost"]) for r in out)
     assert got == [3.0, 4.0, 13.5, 39.5]  # the period without a pool row vanishes
     assert sum(got) == 60.0
@@ -77,15 +79,60 @@ def test_g5_negative_prorate(spark):
     assert out[("t", None)] is None
 
 
+def test_g6_pivot_and_unpivot(spark):
+    labels = ["A", "B", "C"]
+    long_df = spark.createDataFrame([("one", "A", D("5")), ("one", "A", D("2")), ("none", "B", None), ("none", "X", D("9"))],
+                                    f"key string, account string, v {DEC}")
+    wide = {r["key"]: tuple(r)[1:] for r in reshape.pivot_sum(long_df, ["key"], "account", "v", labels).collect()}
+    assert wide == {"one": (D("7"), None, None), "none": (None, None, None)}
+    back = reshape.unpivot_drop_nulls(reshape.pivot_sum(long_df, ["key"], "account", "v", labels), ["key"], labels, "account", "v")
+    assert [tuple(r) for r in back.collect()] == [("one", "A", D("7"))]
+    two = reshape.pivot_sums(long_df.withColumn("w", F.lit(1)), ["key"], "account", {"v": "v", "w": "n"}, labels)
+    assert two.columns == ["key", "A_v", "A_n", "B_v", "B_n", "C_v", "C_n"]
+    assert {r["key"]: (r["A_v"], r["A_n"], r["B_n"], r["C_n"]) for r in two.collect()} == {
+        "one": (D("7"), 2, None, None), "none": (None, None, 1, None)}
+
+
+LARGE = [D("50000000000000"), D("-50000000000000"), D("9300000000000.5"), D("0.0000005"), D("-0.0000005"), D("123456789012345678.25")]
+
+
+def test_large_amounts_are_exact(spark):
+    """D1, D3, D4 and D6 on amounts whose micros exceed 64 bits."""
+    amount = "decimal(38,2)"
+    for x in LARGE[:2] + [D("9300000000000"), D("2") ** 60]:
+        one = spark.createDataFrame([("s", "p", D("1"), x)], f"sku string, period string, vol {amount}, cost {amount}")
+        table = spark.createDataFrame([("p", x, D("1"))], f"period string, pool {amount}, total {amount}")
+        spread = allocate.spread_pool(one.withColumn("cost", F.lit(D("0")).cast(amount)), table, "period", "vol", "cost", "pool", "total")
+        assert spread.first()["cost"] == x
+        assert allocate.cascade_allocate(one, ["sku"], ["period"], "vol", "cost", "adj").first()["adj"] == x
+        assert allocate.prorate_within(one, ["sku"], "vol", "cost", "adj").first()["adj"] == x
+        wide = spark.createDataFrame([("k", "CUR", "1997003", x)], f"key string, currency_copa string, period_year string, G2N {amount}")
+        rates = spark.createDataFrame([("1997003", "CUR", D("1"), D("1"), D("1"))], "fiscper string, currency string, "
+                                      "ActRate decimal(18,6), ACRate decimal(18,6), ActPYRate decimal(18,6)")
+        assert fx.convert_wide(wide, rates, ["key"], ["G2N"]).first()["amount_usd"] == x
+
+
+def test_money_rounding_has_no_cap(spark):
+    import math
+
+    from pnlflow.functions import scalars as S
+
+    values = [float(x) for x in LARGE] + [9.3e12, 5e13, -5e13, 1.5e18, -1e23, 0.0, -0.0, 1e-7, 2.5e-6, -2.5e-6, 1234.5678905]
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in values], "v double").select(S.money_from_double("v")).collect()]
+    with localcontext(prec=60):
+        assert got == [D(math.floor(v * 1000000.0 + 0.5)).scaleb(-6) for v in values]
+    with pytest.raises(Exception, match="money limit"):
+        spark.createDataFrame([(1e25,)], "v double").select(S.money_from_double("v")).collect()
+
+
 def test_g7_fx(spark):
-    long_df = spark.createDataFrame(
-        [("k", "CUR", "1997003", "GROSS_SALES", D("400")), ("k", "CUR", "1997003", "VOLUME", D("400")),
-         ("k", "XXX", "1997003", "G2N", D("400"))],
-        f"key string, currency_copa string, period_year string, account string, amount {DEC}")
+    wide = spark.createDataFrame(
+        [("k", "CUR", "1997003", D("400"), D("400"), None), ("k", "XXX", "1997003", None, None, D("400"))],
+        f"key string, currency_copa string, period_year string, GROSS_SALES {DEC}, VOLUME {DEC}, G2N {DEC}")
     rates = spark.createDataFrame([("1997003", "CUR", D("40"), D("50"), D("20"))],
                                   "fiscper string, currency string, ActRate decimal(18,6), ACRate decimal(18,6), "
                                   "ActPYRate decimal(18,6)")
-    out = {r["account"]: r for r in fx.convert(long_df, rates, ["key"]).collect()}
+    out = {r["account"]: r for r in fx.convert_wide(wide, rates, ["key"], ["GROSS_SALES", "VOLUME", "G2N"]).collect()}
     g = out["GROSS_SALES"]
     assert (g["amount_usd"], g["value_ac_rate"], g["value_py_rate"]) == (D("10"), D("8"), D("20"))
     v = out["VOLUME"]

@@ -6,6 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from pnlflow.functions import scalars as S
 from pnlflow.operators import allocate, fx, reshape
 
 DEC = "decimal(18,2)"
@@ -22,7 +23,8 @@ def test_pool_spread_conserves_cost_plus_pool(spark, rows, pool):
     df = spark.createDataFrame([(f"p{p}", v, c) for p, v, c in rows], f"period string, vol {DEC}, cost {DEC}")
     pools = spark.createDataFrame([(f"p{p}", pool) for p in sorted({p for p, _, _ in rows})],
                                   f"period string, pool {DEC}")
-    out = allocate.spread_pool(df, pools, "period", "vol", "cost", "pool", 16)
+    table = pools.join(allocate.period_total(df, "period", "vol", "total"), "period")
+    out = allocate.spread_pool(df, table, "period", "vol", "cost", "pool", "total")
     got = out.agg(F.sum("cost")).first()[0]
     expected = sum(c for _, _, c in rows) + pool * len({p for p, _, _ in rows})
     assert abs(got - expected) <= D("0.00001") * len(rows)
@@ -70,12 +72,12 @@ def test_pivot_then_unpivot_is_identity_on_cells(spark, cells):
 @SETTINGS
 @given(amounts=st.lists(money, min_size=1, max_size=6))
 def test_volume_is_not_converted(spark, amounts):
-    long_df = spark.createDataFrame([("k", "CUR", "2023001", "VOLUME", a) for a in amounts],
-                                    f"key string, currency_copa string, period_year string, account string, amount {DEC}")
+    wide = spark.createDataFrame([("k", "CUR", "2023001", a) for a in amounts],
+                                 f"key string, currency_copa string, period_year string, VOLUME {DEC}")
     rates = spark.createDataFrame([("2023001", "CUR", D("3"), D("7"), D("11"))],
                                   "fiscper string, currency string, ActRate decimal(18,6), ACRate decimal(18,6), "
                                   "ActPYRate decimal(18,6)")
-    r = fx.convert(long_df, rates, ["key"]).first()
+    r = fx.convert_wide(wide, rates, ["key"], ["VOLUME"]).first()
     assert r["amount_usd"] == r["value_ac_rate"] == r["value_py_rate"] == r["amount_lcl"] == sum(amounts)
 
 
@@ -96,6 +98,18 @@ def test_sign_flag_with_a_hot_order_matches_window_reference(spark):
     assert got == {r["i"]: r["flag"] for r in ref.collect()}
 
 
+def convert_long(long_df, rates):
+    """The definition: join the rates to every amount, then sum and divide by key and account."""
+    joined = fx.attach_rates(long_df, rates)
+    total = F.sum("amount")
+
+    def at(rate):
+        return F.when(F.col("account") != "VOLUME", S.money_from_double(S.plain_divide(total, F.max(rate)))).otherwise(S.money(total))
+
+    return joined.groupBy("key", "account").agg(S.money(total).alias("amount_lcl"), at("ActRate").alias("amount_usd"),
+                                                at("ACRate").alias("value_ac_rate"), at("ActPYRate").alias("value_py_rate"))
+
+
 @SETTINGS
 @given(rows=st.lists(st.tuples(st.sampled_from(["k1", "k2"]), st.sampled_from(["CUR", "OTH", "NONE"]),
                                st.one_of(st.none(), money), st.one_of(st.none(), money)),
@@ -111,6 +125,6 @@ def test_wide_conversion_equals_unpivot_then_convert(spark, rows):
     measures = ["GROSS_SALES", "VOLUME"]
     long_df = reshape.unpivot_drop_nulls(wide, ["key", "currency_copa", "period_year"], measures, "account", "amount")
     cols = ["key", "account", "amount_lcl", "amount_usd", "value_ac_rate", "value_py_rate"]
-    a = sorted(tuple(r) for r in fx.convert(long_df, rates, ["key"]).select(*cols).collect())
+    a = sorted(tuple(r) for r in convert_long(long_df, rates).select(*cols).collect())
     b = sorted(tuple(r) for r in fx.convert_wide(wide, rates, ["key"], measures).select(*cols).collect())
     assert a == b

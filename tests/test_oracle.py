@@ -12,8 +12,6 @@ from compare_oracle import duck, rows_of  # noqa: E402
 from pnlflow.plans import queries as Q  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-KEYS = ["a01_ledger_base", "j11_prior_year_rate", "r03_pivot_two_measures", "c09_month_name_date",
-        "d03_cascade_allocate", "d05_reconcile_delta", "d09_planning_net_revenue", "d11_full_pnl"]
 
 
 @pytest.fixture(scope="module")
@@ -21,7 +19,7 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", KEYS)
+@pytest.mark.parametrize("name", list(Q.REGISTRY))
 def test_query_matches_oracle(spark, con, name):
     s = Q.run(name, spark, SF).toPandas()
     d = con.execute(Q.oracle_sql()[name]).df()
