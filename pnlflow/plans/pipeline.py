@@ -1,8 +1,10 @@
 """The whole customer P&L job (D11) as a chain of lazily built DataFrames.
 
-Every stage is a property built once per ``Stages`` object, so a stage read by
-two later stages is the same logical plan; Spark reuses its shuffle output
-(``ReusedExchange``) instead of recomputing it.
+Every stage is a property built once per ``Stages`` object.  The ledger is read
+once: after both dimensions are attached its rows are stored (``flagged``), and
+pool, totals, spread and allocation read that table.  The stages that only
+report a part of it (``ledger_product``, ``orphan_sku``, ...) are not on the
+job's path.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pnlflow.operators import allocate, enrich, fx, ledger, output, planning, reconcile, reporting
-from pnlflow.operators.joins import materialize
+from pnlflow.operators.joins import materialize, stored
 from pnlflow import rules
 from pnlflow.rules import JobParams
 from pnlflow.sources.inputs import Inputs
@@ -21,8 +23,6 @@ from pnlflow.sources.inputs import Inputs
 CASCADE_LEVELS = ["sku", "ff", "bsp", "category"]
 SCOPE = ["country", "period_year"]
 SIGN_GROUP = ["sku", "country", "period_year", "sales_order"]
-# fiscal periods per year (12 months + 4 special periods): bound of per-period tables
-PERIODS_PER_YEAR = 16
 
 
 class Stages:
@@ -30,11 +30,6 @@ class Stages:
         self.i = inputs
         self.p = params
 
-    @property
-    def period_bound(self) -> int:
-        years = self.p.period_end.year - self.p.period_start.year + 1
-        return PERIODS_PER_YEAR * years
-
     # --- actuals: ledger -> allocated customer rows ---------------------------
     @functools.cached_property
     def ledger_base(self) -> DataFrame:  # stage 1
@@ -46,11 +41,11 @@ class Stages:
 
     @functools.cached_property
     def product_dim(self) -> DataFrame:  # stage 3
-        return enrich.product_dim(self.i.product_hier, self.i.brand_hier)
+        return stored(enrich.product_dim(self.i.product_hier, self.i.brand_hier))
 
     @functools.cached_property
     def customer_dim(self) -> DataFrame:  # stage 4
-        return enrich.customer_dim(self.i.customer_flat, self.i.customer_area, self.i.customer_dim, self.p)
+        return stored(enrich.customer_dim(self.i.customer_flat, self.i.customer_area, self.i.customer_dim, self.p))
 
     @functools.cached_property
     def ledger_product(self) -> DataFrame:  # stage 5
@@ -74,12 +69,19 @@ class Stages:
         return (self.orphan_sku.select(*cols).unionByName(self.orphan_customer.select(*cols))
                 .groupBy("period_year").agg(F.sum("cogs_manufacturing").alias("cogs_manufacturing_dis")))
 
+    @functools.cached_property
+    def flagged(self) -> DataFrame:  # stages 5-8 in one pass; the job reads the ledger through this table only
+        return materialize(enrich.attach_dimensions(self.ledger_conformed, self.product_dim, self.customer_dim))
+
+    @functools.cached_property
+    def period_totals(self) -> DataFrame:  # stage 9 and the totals of stage 12
+        return stored(enrich.orphan_totals(self.flagged))
+
     @functools.cached_property
     def pool_spread(self) -> DataFrame:  # stages 10-13
-        # read by the sign split, both allocation branches and their totals: checkpointed once
-        return materialize(allocate.spread_pool(
-            self.ledger_product_customer, self.orphan_pool, "period_year", "volume_net", "cogs_manufacturing",
-            "cogs_manufacturing_dis", self.period_bound))
+        rows = self.flagged.where("has_product").drop(*enrich.MATCHES)
+        return allocate.spread_pool(rows, self.period_totals, "period_year", "volume_net", "cogs_manufacturing",
+                                    "cogs_manufacturing_dis", "volume_net_year")
 
     @functools.cached_property
     def sign_split(self) -> tuple[DataFrame, DataFrame]:  # stage 14
@@ -121,7 +123,7 @@ class Stages:
 
     @functools.cached_property
     def exchange_rates(self) -> DataFrame:  # stages 24-27
-        return fx.exchange_rates(self.i.fx_rates, self.p)
+        return stored(fx.exchange_rates(self.i.fx_rates, self.p))
 
     @functools.cached_property
     def pnl_union(self) -> DataFrame:  # stage 28
@@ -134,7 +136,7 @@ class Stages:
     @functools.cached_property
     def pnl_fx(self) -> DataFrame:  # stages 30-31: converted in wide form, then one row per account
         return fx.convert_wide(output.pnl_wide(self.pnl_union), self.exchange_rates, output.FX_KEYS,
-                               list(rules.ACTUAL_MEASURES), rates_source=self.i.fx_rates)
+                               list(rules.ACTUAL_MEASURES))
 
     @functools.cached_property
     def actuals_final(self) -> DataFrame:  # stage 32
@@ -148,7 +150,7 @@ class Stages:
     @functools.cached_property
     def planning_enriched(self) -> DataFrame:  # stage 34
         return planning.planning_enriched(self.planning_base, self.i.product_hier, self.i.brand_hier,
-                                          self.i.account_hier, self.i.country_clusters)
+                                          self.i.planning_accounts, self.i.country_clusters)
 
     @functools.cached_property
     def planning_net_revenue(self) -> DataFrame:  # stage 35

@@ -17,8 +17,7 @@ from pyspark.sql import types as T
 
 from pnlflow import rules
 from pnlflow.functions import scalars as S
-from pnlflow.operators import allocate, enrich, fx, ledger, output, planning, reconcile, reporting
-from pnlflow.operators.joins import join_null_safe
+from pnlflow.operators import allocate, enrich, fx, ledger, output, planning, reconcile, reporting, reshape
 from pnlflow.plans import oracle as O
 from pnlflow.plans.pipeline import CASCADE_LEVELS, SCOPE, SIGN_GROUP, Stages
 from pnlflow.rules import JobParams, synthetic_params
@@ -167,44 +166,45 @@ LP_COLS = enrich.LEDGER_PRODUCT_KEYS + M5
 reg("j03_ledger_product_inner", lambda st: st.ledger_product, "o_lp", LP_COLS, M5)
 ORPH_COLS = ["period_year", "sku", *M5]
 reg("j04_orphan_sku_anti", lambda st: st.orphan_sku, "o_orphan_sku", ORPH_COLS, M5)
-reg("j05_customer_left_distinct",
-    lambda st: st.ledger_product.join(
-        st.customer_dim.select("customer", *enrich.CUSTOMER_ATTRS).distinct(), "customer", "left"),
+reg("j05_customer_left_distinct", lambda st: enrich.join_customer_attributes(st.ledger_product, st.customer_dim),
     "o_lp a LEFT JOIN (SELECT DISTINCT customer, customer_name, channel, subchannel FROM o_cust) b "
     "USING (customer)", ROW_DIMS + M5, M5)
 reg("j06_orphan_customer_anti", lambda st: st.orphan_customer, "o_orphan_customer", ORPH_COLS, M5)
 reg("j07_attach_pool_inner",
-    lambda st: allocate.attach_per_period(st.ledger_product_customer, st.orphan_pool, "period_year",
-                                          st.period_bound),
+    lambda st: allocate.attach_per_period(st.ledger_product_customer, st.orphan_pool, "period_year"),
     "o_with_pool", ROW_DIMS + M5 + ["cogs_manufacturing_dis"], M5 + ["cogs_manufacturing_dis"])
-reg("j08_self_total",
-    lambda st: allocate.attach_period_total(
-        allocate.attach_per_period(st.ledger_product_customer, st.orphan_pool, "period_year", st.period_bound),
-        "period_year", "volume_net", "volume_net_year", st.period_bound),
+def _j08(st: Stages) -> DataFrame:
+    with_pool = allocate.attach_per_period(st.ledger_product_customer, st.orphan_pool, "period_year")
+    total = allocate.period_total(with_pool, "period_year", "volume_net", "volume_net_year")
+    return allocate.attach_per_period(with_pool, total, "period_year")
+
+
+reg("j08_self_total", _j08,
     "o_with_pool a JOIN o_period_volume b USING (period_year)",
     ROW_DIMS + M5 + ["cogs_manufacturing_dis", "volume_net_year"], M5 + ["cogs_manufacturing_dis", "volume_net_year"])
 
 
 def _j09(st: Stages) -> DataFrame:
-    scoped = reporting.reporting_scope(st.i.reporting_facts, st.p)
-    acct = st.i.account_hier.select("account_code", "level_07", "level_08")
-    ents = st.i.entity_hier.where(F.col("entity") == F.lit(st.p.entity))
-    return scoped.join(acct, "account_code").join(ents, "entity")
+    return reporting.join_accounts(reporting.reporting_scope(st.i.reporting_facts, st.p),
+                                   reporting.extract_map(st.i.account_hier, st.i.entity_hier, st.p))
 
 
+_J09_SCOPE = f"fd.entity = {O.q(P.entity)} AND fd.currency = 'LCL' AND fd.date > {O.d(P.reporting_start)}"
 reg("j09_fact_account_entity", _j09,
-    f"reporting_facts fd JOIN account_hier fa USING (account_code) JOIN entity_hier fe USING (entity)",
-    ["entity", "date", "sku", "account_code", "level_07", "level_08", "value"], ["value"],
-    f"WHERE fd.entity = {O.q(P.entity)} AND fd.currency = 'LCL' AND fd.date > {O.d(P.reporting_start)}")
+    "(" + " UNION ALL ".join(
+        f"SELECT fd.entity, date, sku, account_code, {n} AS extract, level_0{n} AS account, value FROM reporting_facts fd "
+        f"JOIN account_hier fa USING (account_code) JOIN entity_hier fe ON fd.entity = fe.entity "
+        f"WHERE {_J09_SCOPE} AND level_0{n} IN {O.in_list(codes)}"
+        for n, codes in ((8, rules.REPORTING_LEVEL_08), (7, rules.REPORTING_LEVEL_07)))
+    + f" UNION ALL SELECT fd.entity, date, sku, account_code, 0, account_code, value FROM reporting_facts fd "
+      f"WHERE {_J09_SCOPE} AND account_code IN {O.in_list(rules.REPORTING_LEAF)}) t",
+    ["entity", "date", "sku", "account_code", "extract", "account", "value"], ["value"])
 
 
 def _j10(st: Stages) -> DataFrame:
-    led = reconcile.ledger_summary(st.actuals_customer).select(
-        "sku", "period_year", "currency_copa", "bsp", "brand", "category", "ff",
-        F.col("gross_sales").alias("ledger_gross_sales"), F.col("volume").alias("ledger_volume"))
-    rep = st.reporting_measures.select("sku", "period_year", "country", F.col("gross_sales").alias(
-        "reporting_gross_sales"), F.col("volume").alias("reporting_volume"))
-    return rep.join(led, ["sku", "period_year"], "left")
+    return reconcile.join_ledger(st.reporting_measures, st.actuals_customer).withColumnsRenamed(
+        {"gross_sales": "reporting_gross_sales", "volume": "reporting_volume", "__l_gross_sales": "ledger_gross_sales",
+         "__l_volume": "ledger_volume"})
 
 
 J10_COLS = ["sku", "period_year", "country", "currency_copa", "bsp", "brand", "category", "ff",
@@ -218,60 +218,38 @@ RATE_COLS = ["fiscper", "currency", "ACRate", "ActRate", "ACPYRate", "ActPYRate"
 reg("j11_prior_year_rate", lambda st: st.exchange_rates, "o_rates", RATE_COLS, RATE_COLS[2:])
 
 
-def _j12(st: Stages) -> DataFrame:
-    r = st.exchange_rates.select("fiscper", F.col("currency").alias("__c"), "ActRate", "ACRate", "ActPYRate")
-    return st.pnl_long.join(r, (F.col("currency_copa") == F.col("__c")) & (F.col("period_year") == F.col("fiscper")),
-                            "left")
-
-
 LONG_COLS = output.LONG_KEYS + ["account", "amount"]
-reg("j12_fx_lookup", _j12,
+reg("j12_fx_lookup", lambda st: fx.attach_rates(st.pnl_long, st.exchange_rates),
     "o_long a LEFT JOIN o_rates b ON a.currency_copa = b.currency AND a.period_year = b.fiscper",
     LONG_COLS + ["ActRate", "ACRate", "ActPYRate"], ["amount", "ActRate", "ACRate", "ActPYRate"])
 FX_COLS = output.FX_KEYS + ["account", "amount_lcl", "amount_usd", "value_ac_rate", "value_py_rate"]
 
 
-def _j13(st: Stages) -> DataFrame:
-    clus = planning.cluster_lookup(st.i.country_clusters, st.p.entity)
-    return st.pnl_fx.join(clus, F.col("country") == F.col("country_key"), "left")
-
-
-reg("j13_cluster_lookup", _j13,
+reg("j13_cluster_lookup",
+    lambda st: planning.attach_clusters(st.pnl_fx, planning.cluster_lookup(st.i.country_clusters, st.p.entity)),
     f"o_fx a LEFT JOIN (SELECT upper(country) AS country_key, cluster1, cluster2 FROM country_clusters "
     f"WHERE fit_entity = {O.q(P.entity)}) b ON a.country = b.country_key",
     FX_COLS + ["cluster1", "cluster2"], FX_COLS[-4:])
 
 
-def _j14(st: Stages) -> DataFrame:
-    prod = planning.product_rollup(st.i.product_hier, st.i.brand_hier)
-    return st.planning_base.join(prod, st.planning_base["product"] == prod["bws"], "left")
-
-
 J14_COLS = ["date", "account", "product", "channel", "value_lcl", "value_usd", "category", "brand", "subbrand",
             "format_flavor", "sku"]
-reg("j14_planning_product", _j14, "o_plan_base fd LEFT JOIN o_plan_products ph ON fd.product = ph.bws",
+reg("j14_planning_product",
+    lambda st: planning.attach_products(st.planning_base, planning.product_rollup(st.i.product_hier, st.i.brand_hier)),
+    "o_plan_base fd LEFT JOIN o_plan_products ph ON fd.product = ph.bws",
     J14_COLS, planning.VALUES)
 
 
-def _j15(st: Stages) -> DataFrame:
-    acct = planning.account_map(st.i.account_hier).select("account_code", F.col("account").alias("level_account"))
-    return st.planning_base.join(acct, F.col("account") == F.col("account_code"))
-
-
 J15_COLS = ["date", "account", "product", "channel", "level_account", "value_lcl", "value_usd"]
-reg("j15_planning_accounts", _j15,
+reg("j15_planning_accounts",
+    lambda st: planning.attach_accounts(st.planning_base, planning.account_map(st.i.planning_accounts)),
     "o_plan_base fd JOIN (SELECT account_code, account AS level_account FROM o_plan_accounts) am "
     "ON fd.account = am.account_code", J15_COLS, planning.VALUES)
 
 
-def _j16(st: Stages) -> DataFrame:
-    b = st.planning_base.withColumn("country", S.label("entity", rules.PLANNING_ENTITY_COUNTRY))
-    clus = planning.cluster_lookup(st.i.country_clusters)
-    return b.join(clus, F.col("country") == F.col("country_key"), "left")
-
-
 J16_COLS = ["date", "account", "product", "country", "country_key", "cluster1", "cluster2", "value_lcl"]
-reg("j16_planning_cluster", _j16,
+reg("j16_planning_cluster",
+    lambda st: planning.attach_clusters(planning.with_country(st.planning_base), planning.cluster_lookup(st.i.country_clusters)),
     f"(SELECT *, {O.case_map('entity', rules.PLANNING_ENTITY_COUNTRY)} AS country FROM o_plan_base) fd "
     "LEFT JOIN (SELECT upper(country) AS country_key, cluster1, cluster2 FROM country_clusters) ch "
     "ON fd.country = ch.country_key", J16_COLS, ["value_lcl"])
@@ -305,14 +283,9 @@ reg("w04_passed_up",
     "o_pos_passed", ROW_DIMS + ["volume_net", *PASS_NAMES], ["volume_net", *PASS_NAMES])
 
 
-def _w05(st: Stages) -> DataFrame:
-    neg = st.sign_split[1]
-    totals = neg.groupBy("sku", *SCOPE).agg(F.sum("volume_net").alias("vol_sku"),
-                                            F.sum("cogs_manufacturing").alias("cm_sku"))
-    return join_null_safe(neg, totals, ["sku", *SCOPE])
-
-
-reg("w05_negative_totals", _w05,
+reg("w05_negative_totals",
+    lambda st: allocate.with_group_totals(st.sign_split[1], ["sku", *SCOPE],
+                                          {"volume_net": "vol_sku", "cogs_manufacturing": "cm_sku"}),
     "(SELECT *, SUM(volume_net) OVER (PARTITION BY sku, country, period_year) AS vol_sku, "
     "SUM(cogs_manufacturing) OVER (PARTITION BY sku, country, period_year) AS cm_sku "
     "FROM o_flagged WHERE flag = 'VOL_NEG') t", ROW_DIMS + ["volume_net", "vol_sku", "cm_sku"],
@@ -329,12 +302,9 @@ PLAN_KEYS11 = [k for k in planning.ENRICHED_KEYS if k != "cuenta"]
 R03_VALS = [f"{c}_{v}" for c in PLAN_LABELS for v in ("usd", "lcl")]
 
 
-def _r03(st: Stages) -> DataFrame:
-    return (st.planning_enriched.groupBy(*PLAN_KEYS11).pivot("cuenta", PLAN_LABELS)
-            .agg(F.sum("value_usd").alias("usd"), F.sum("value_lcl").alias("lcl")))
-
-
-reg("r03_pivot_two_measures", _r03,
+reg("r03_pivot_two_measures",
+    lambda st: reshape.pivot_sums(st.planning_enriched, PLAN_KEYS11, "cuenta", {"value_usd": "usd", "value_lcl": "lcl"},
+                                  PLAN_LABELS),
     "(SELECT " + ", ".join(PLAN_KEYS11) + ", " + ", ".join(
         f"SUM(CASE WHEN cuenta = '{c}' THEN value_{v} END) AS {c}_{v}" for c in PLAN_LABELS for v in ("usd", "lcl"))
     + " FROM o_plan GROUP BY " + ", ".join(PLAN_KEYS11) + ") t", PLAN_KEYS11 + R03_VALS, R03_VALS)
@@ -389,8 +359,7 @@ reg("c07_fiscal_period",
     "(SELECT date, strftime(date, '%Y0%m') AS period_year FROM reporting_facts) t", ["date", "period_year"])
 reg("c08_period_to_date",
     lambda st: st.i.ledger_lines.select("fiscper", S.period_to_date("fiscper").alias("period_date")),
-    "(SELECT fiscper, CAST(strptime(substr(fiscper, 1, 4) || '/' || lpad(CAST(CAST(substr(fiscper, 5, 3) AS BIGINT) "
-    "AS VARCHAR), 2, '0') || '/01', '%Y/%m/%d') AS DATE) AS period_date FROM ledger_lines) t",
+    f"(SELECT fiscper, {O.period_date('fiscper')} AS period_date FROM ledger_lines) t",
     ["fiscper", "period_date"])
 reg("c09_month_name_date",
     lambda st: st.i.fx_rates.select("year", "period",
@@ -422,13 +391,15 @@ reg("u04_union_dummy_keys", lambda st: st.pnl_union, "o_union", UNION_COLS, UNIO
 
 
 def _u06(st: Stages) -> DataFrame:
-    acct = planning.account_map(st.i.account_hier)
-    codes = st.planning_base.select(F.col("account").alias("account_code")).distinct()
+    acct = planning.account_map(st.i.planning_accounts)
+    facts = st.i.planning_facts.select(F.col("account").alias("account_code"))
+    codes = facts.unionByName(st.i.reporting_facts.select("account_code")).distinct()
     return codes.join(acct, "account_code")
 
 
 reg("u06_account_map", _u06,
-    "(SELECT DISTINCT account AS account_code FROM o_plan_base) c JOIN o_plan_accounts USING (account_code)",
+    "(SELECT account AS account_code FROM planning_facts UNION SELECT account_code FROM reporting_facts) c "
+    "JOIN o_plan_accounts USING (account_code)",
     ["account_code", "account", "description"])
 reg("u08_final_union", lambda st: st.result, "o_result", rules.OUTPUT_COLUMNS, FINAL_NUMS)
 
@@ -437,8 +408,13 @@ reg("u08_final_union", lambda st: st.result, "o_result", rules.OUTPUT_COLUMNS, F
 # ----------------------------------------------------------------------------
 SPREAD_COLS = ROW_DIMS + M5
 reg("d01_spread_pool", lambda st: st.pool_spread, "o_spread", SPREAD_COLS, M5)
-reg("d02_split_sign",
-    lambda st: allocate.net_sign_flag(st.pool_spread, SIGN_GROUP, "volume_net").select(*SPREAD_COLS, "flag"),
+def _d02(st: Stages) -> DataFrame:
+    positive, negative = allocate.split_by_net_sign(st.pool_spread, SIGN_GROUP, "volume_net")
+    return (positive.select(*SPREAD_COLS, F.lit(allocate.POSITIVE).alias("flag"))
+            .unionByName(negative.select(*SPREAD_COLS, F.lit(allocate.NEGATIVE).alias("flag"))))
+
+
+reg("d02_split_sign", _d02,
     "o_flagged", SPREAD_COLS + ["flag"], M5)
 reg("d03_cascade_allocate", lambda st: st.positive_allocated, "o_pos_alloc", ALLOC_COLS, ALLOC_NUMS)
 reg("d04_prorate_negative", lambda st: st.negative_allocated, "o_neg_alloc", ALLOC_COLS, ALLOC_NUMS)
