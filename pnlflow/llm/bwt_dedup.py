@@ -37,11 +37,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pnlflow.llm.common import slices, spread, stored, utf8
+from pnlflow.llm.common import opened, press, slices, spread, stored, utf8
 
 U = np.uint64
 _MUL = 0xD6E8FEB86659FD93
@@ -266,19 +265,6 @@ def _seeds(s: Settings):
     return run
 
 
-def _press(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts compressed, so that a shuffle of them is small."""
-    press = zstandard.ZstdCompressor(level=1)
-    for batch in slices(batches):
-        raw = batch.column("text").cast(pa.binary())
-        yield batch.set_column(batch.schema.get_field_index("text"), "text",
-                               pa.array([None if b is None else press.compress(b) for b in raw.to_pylist()], pa.binary()))
-
-
-def _open(z: bytes | None) -> bytes:
-    return zstandard.ZstdDecompressor().decompress(z) if z else b""
-
-
 def _cut(s: Settings):
     """The texts of the wanted stretches of each document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -286,7 +272,7 @@ def _cut(s: Settings):
             for one in slices([batch], most=1 << 20):
                 rows, cols = [], one.to_pydict()
                 for z, want in zip(cols["text"], cols["want"]):
-                    b = _open(z)
+                    b = opened(z)
                     rows += [(w["seed"], w["hash"], w["copies"], b[w["start"]:w["start"] + w["n"] + s.length - 1]) for w in want]
                 seed, text, copies, cut = zip(*rows) if rows else ((), (), (), ())
                 yield pa.RecordBatch.from_arrays([pa.array(seed, pa.int64()), pa.array(text, pa.int64()), pa.array(copies, pa.int64()),
@@ -384,7 +370,7 @@ def _remove(s: Settings, with_text: bool):
             for one in slices([batch], most=1 << 20):
                 out = [[] for _ in range(5 + 2 * with_text)]
                 for z, spans in zip(one.column("text").to_pylist(), one.column("spans").to_pylist()):
-                    b = _open(z)
+                    b = opened(z)
                     gone = covered([(x["first"], x["n"]) for x in spans or ()
                                     if xxhash.xxh3_64_intdigest(b[x["start"]:x["start"] + x["size"] + s.length - 1]) == x["hash"] % (1 << 64)], len(b), s.length)
                     edges = [0, *(x for span in gone for x in span), len(b)]
@@ -423,7 +409,7 @@ def repeated_strings(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     distinct = places.groupBy("seed", "hash").agg(F.count("*").alias("copies"), F.min(F.struct("key", "start", "n")).alias("at"))
     wanted = (distinct.select("seed", "hash", "copies", "at.*").groupBy("key")
               .agg(F.collect_list(F.struct("seed", "hash", "copies", "start", "n")).alias("want")))  # bounded by one document
-    packed = long.mapInArrow(_press, "key long, text binary")
+    packed = long.mapInArrow(press, "key long, text binary")
     # rows that repeat share a key and count in ``copies``; one of them gives the text
     texts = (packed.join(wanted, "key").dropDuplicates(["key"]).mapInArrow(_cut(s), "seed long, hash long, copies long, bytes binary")
              .select("seed", F.lit(0).cast("long").alias("part"), "hash", "copies", "bytes"))
@@ -461,7 +447,7 @@ def remove_repeats(docs: DataFrame, s: Settings = Settings(), keep: tuple[str, .
     spans = (repeated_strings(docs, s).groupBy("key")
              .agg(F.collect_set(F.struct("start", "size", "hash", "first", "n")).alias("spans")))  # bounded by one document
     rows = docs.select(F.struct(*keep).alias("kept"), _key().alias("key"), F.col("text").cast("string").alias("text"))
-    packed = rows.mapInArrow(_press, _with_binary_text(rows))
+    packed = rows.mapInArrow(press, _with_binary_text(rows))
     more = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<struct<start:long,end:long>>"
     more += ", kept_text string, was_null boolean" if with_text else ""
     both = packed.join(spans, "key", "left").select("kept", "text", "spans")

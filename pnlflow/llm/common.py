@@ -9,6 +9,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,6 +74,19 @@ def utf8(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, dtype=np.uint8)[at[0]:at[-1]], at - at[0]
 
 
+def press(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed, so that a shuffle of them is small."""
+    squeeze = zstandard.ZstdCompressor(level=1)
+    for batch in slices(batches):
+        raw = batch.column("text").cast(pa.binary())
+        yield batch.set_column(batch.schema.get_field_index("text"), "text",
+                               pa.array([None if b is None else squeeze.compress(b) for b in raw.to_pylist()], pa.binary()))
+
+
+def opened(z: bytes | None) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(z) if z else b""
+
+
 def texts(array: pa.Array) -> list[bytes]:
     """Each value as UTF-8 bytes (null: empty)."""
     data, at = utf8(array)

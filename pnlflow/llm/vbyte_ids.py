@@ -26,7 +26,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pnlflow.llm.common import slices, texts
+from pnlflow.llm.common import opened, press, slices, stored
+from pnlflow.llm.packed import pack, unpack
 from pnlflow.llm.word_codec import codec, with_end
 
 _SHIFT = np.arange(4, dtype=np.uint8) * 2
@@ -56,25 +57,36 @@ def decode(control: bytes, data: bytes, n: int) -> np.ndarray:
     return out
 
 
-def _count(path: str, end: int):
+def _tokenize(path: str, end: int):
+    """Blocks of ids as they are; rows come in order, so a block knows what is before it in its part."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1, np.int64)
-        for batch in slices(batches, most=2 << 20):
-            ids, count = codec(path, False).encode(texts(batch.column("text")))
-            n = np.bincount(ids, minlength=max(len(total), end + 1))
-            n[end] += len(count)
+        part, before = TaskContext.get().partitionId(), 0
+        for block, batch in enumerate(slices(batches, most=1 << 20)):
+            ids, count = with_end(*codec(path, False).encode([opened(z) for z in batch.column("text").to_pylist()]), end)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([part], pa.int32()), pa.array([block], pa.int32()), pa.array([before], pa.int64()),
+                 pa.array([batch.column("doc_id").to_pylist()], pa.list_(pa.int64())), pa.array([count.tolist()], pa.list_(pa.int64())),
+                 pa.array([pack(ids.astype(np.uint32))], pa.binary())], names=["part", "block", "before", "doc_ids", "counts", "ids"])
+            before += len(ids)
+    return run
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(1, np.int64)
+    for batch in batches:
+        for data in batch.column("ids").to_pylist():
+            n = np.bincount(unpack(data, np.uint32), minlength=len(total))
             n[:len(total)] += total
             total = n
-        at = np.flatnonzero(total)
-        if len(at):
-            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["id", "n"])
-    return run
+    at = np.flatnonzero(total)
+    if len(at):
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["id", "n"])
 
 
-def frequency_ranks(docs: DataFrame, path: str, end: int) -> np.ndarray:
-    """The ids in the order of their counts over all documents, ties by id; those that never
-    occur come last.  One row for each id of the vocabulary reaches the driver."""
-    counted = docs.select("text").mapInArrow(_count(path, end), "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+def frequency_ranks(blocks: DataFrame) -> np.ndarray:
+    """The ids in the order of their counts over all blocks, ties by id; those that never occur
+    come last.  One row for each id of the vocabulary reaches the driver."""
+    counted = blocks.select("ids").mapInArrow(_count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     size = max((r.id + 1 for r in counted), default=1)
     n = np.zeros(size, np.int64)
     for r in counted:
@@ -82,38 +94,36 @@ def frequency_ranks(docs: DataFrame, path: str, end: int) -> np.ndarray:
     return np.lexsort((np.arange(size), -n)).astype(np.uint32)
 
 
-BLOCK = "part int, block int, before long, doc_ids array<long>, counts array<long>, control binary, data binary"
+PLACE = "part int, block int, before long, doc_ids array<long>, counts array<long>"
+BLOCK = f"{PLACE}, control binary, data binary"
 
 
-def _write(path: str, end: int, order: np.ndarray):
+def _encode(order: np.ndarray):
     rank = np.empty(len(order), np.uint32)
     rank[order] = np.arange(len(order), dtype=np.uint32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, before = TaskContext.get().partitionId(), 0
-        for block, batch in enumerate(slices(batches, most=2 << 20)):
-            ids, count = with_end(*codec(path, False).encode(texts(batch.column("text"))), end)
-            control, data = encode(rank[ids])
-            yield pa.RecordBatch.from_pylist(
-                [{"part": part, "block": block, "before": before, "doc_ids": batch.column("doc_id").to_pylist(), "counts": count.tolist(),
-                  "control": control, "data": data}],
-                schema=pa.schema([("part", pa.int32()), ("block", pa.int32()), ("before", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
-                                  ("counts", pa.list_(pa.int64())), ("control", pa.binary()), ("data", pa.binary())]))
-            before += len(ids)
+        for batch in batches:
+            made = [encode(rank[unpack(data, np.uint32)]) for data in batch.column("ids").to_pylist()]
+            control, data = zip(*made) if made else ((), ())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(control, pa.binary()), pa.array(data, pa.binary())],
+                                             names=[x.split()[0] for x in BLOCK.split(", ")])
     return run
 
 
 def write(docs: DataFrame, tokenizer: str, end: int, path: str) -> None:
     """Write the ids of all documents, each followed by ``end``, below ``path``: ``blocks`` and the
-    table of ``ranks``."""
+    table of ``ranks``.  Each text is tokenized once; its ids wait, packed, in the shared
+    checkpoint folder until all are counted."""
     spark = docs.sparkSession
-    order = frequency_ranks(docs, tokenizer, end)
-    spark.createDataFrame([(order.astype("<u4").tobytes(),)], "ids binary").write.parquet(f"{path}/ranks")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("tie"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (rows.repartitionByRange(parts, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
-     .mapInArrow(_write(tokenizer, end, order), BLOCK)
-     .write.option("compression", "none").parquet(f"{path}/blocks"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tie"), F.col("text").cast("string").alias("text"))
+    ordered = (rows.mapInArrow(press, "doc_id long, tie long, text binary")
+               .repartitionByRange(parts, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text"))
+    blocks = stored(ordered.mapInArrow(_tokenize(tokenizer, end), f"{PLACE}, ids binary"), "token-ids")
+    order = frequency_ranks(blocks)
+    spark.createDataFrame([(order.astype("<u4").tobytes(),)], "ids binary").write.parquet(f"{path}/ranks")
+    blocks.mapInArrow(_encode(order), BLOCK).write.option("compression", "none").parquet(f"{path}/blocks")
 
 
 def _read(order: np.ndarray, with_ids: bool):
