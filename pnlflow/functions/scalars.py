@@ -99,15 +99,25 @@ def money(c: str | Column) -> Column:
 
 
 MICRO = Decimal("0.000001")
+# Spark's floor of a double is a 64-bit integer, which saturates silently; so the
+# micros are floored in two parts, multiples of 2^40 and the rest.
+_PART = 2.0 ** 40
+#: Beyond this amount the upper part itself would no longer fit: an error, not a cap.
+MONEY_LIMIT = 1e24
 
 
 def money_from_double(c: str | Column) -> Column:
     """Round a double-precision allocation to 6 decimal places, half up, and store
     it as an exact decimal.  The rounding is spelled out (floor(x * 1e6 + 0.5))
     so that every engine yields the same digits; a plain cast would round the
-    shortest decimal form in one engine and the binary value in another."""
-    micros = F.floor(col(c) * F.lit(1000000.0) + F.lit(0.5)).cast("decimal(38,0)")
-    return (micros * F.lit(MICRO)).cast(MONEY)
+    shortest decimal form in one engine and the binary value in another.  Both
+    parts of the floor are exact; an amount beyond MONEY_LIMIT raises."""
+    micros = col(c) * F.lit(1000000.0) + F.lit(0.5)
+    upper = F.floor(micros / F.lit(_PART))
+    rest = F.floor(micros - upper.cast("double") * F.lit(_PART))
+    whole = (upper.cast("decimal(20,0)") * F.lit(Decimal(2 ** 40)) + rest.cast("decimal(14,0)")).cast("decimal(38,0)")
+    too_large = F.raise_error(F.concat(F.lit("amount beyond the money limit: "), col(c).cast("string")))
+    return F.when(F.abs(col(c)) > F.lit(MONEY_LIMIT), too_large.cast(MONEY)).otherwise((whole * F.lit(MICRO)).cast(MONEY))
 
 
 def negate(c: str | Column) -> Column:

@@ -187,10 +187,6 @@ class JobParams:
     def company_currency(self) -> str | None:
         return COMPANY_CURRENCY.get(self.company)
 
-    def months(self) -> int:
-        """Number of fiscal periods in the run window (a proven bound for per-period tables)."""
-        return (self.period_end.year - self.period_start.year) * 12 + self.period_end.month - self.period_start.month + 1
-
 
 def synthetic_params() -> JobParams:
     """Parameters for the derived views over the TPC-H-like test tables.

@@ -15,6 +15,8 @@ JOB_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # delete checkpoint files once no plan references them, on any master
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -23,10 +25,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
-               # delete checkpoint files once no plan references them (long test / bench sessions)
-               .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-               .config("spark.driver.memory", os.environ.get("PNLFLOW_DRIVER_MEMORY", "16g")))
+               .config("spark.driver.memory", os.environ.get("PNLFLOW_DRIVER_MEMORY", "8g")))
     for k, v in JOB_CONF.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
