@@ -125,6 +125,20 @@ BASE_COLS = ["fiscper", "comp_code", "sku", "customer", "doc_number", "currency_
              "trade_incentives", "consumer_incentives", "other_deductions", "sales_allow_returns", "npd",
              "cogs_manufacturing", "cogs_logistic"]
 reg("a01_ledger_base", lambda st: st.ledger_base, "o_base", BASE_COLS, BASE_COLS[6:])
+
+
+def _company(code: str) -> None:
+    """A1 under another company's rules: all ledger lines, booked to that company."""
+    params = dataclasses.replace(P, company=code)
+    lines = f"(SELECT * REPLACE ({O.q(code)} AS comp_code) FROM ledger_lines) lines"
+    reg(f"a01_ledger_base_{code.lower()}",
+        lambda st: ledger.ledger_base(st.i.ledger_lines.withColumn("comp_code", F.lit(code)), params),
+        f"({O.base_sql(params, lines)}) t", BASE_COLS, BASE_COLS[6:])
+
+
+_company(rules.SCALED_COMPANIES[0])
+_company(rules.INDICATOR_COMPANIES[0])
+_company(rules.USD_COMPANIES[1])
 CONF_COLS = ["country", "customer", "period_year", "sku", "sales_order", "currency_copa", *M5]
 reg("a02_conformed_rollup", lambda st: st.ledger_conformed, "o_conf", CONF_COLS, M5)
 reg("a05_dedupe_max", lambda st: st.ledger_product_customer, "o_lpc", ROW_DIMS + M5, M5)
@@ -333,6 +347,31 @@ reg("c03_code_labels", _c03,
     ["entity", "country", "account", "measure", "sku", "value"], ["value"])
 
 
+# every code of every label table (and one unknown code), dealt over the ledger lines
+CODE_TABLES = {
+    "company": (rules.COMPANY_CURRENCY, S.label, O.case_map), "entity": (rules.ENTITY_COUNTRY, S.grouped_label, O.case_groups),
+    "level2": (rules.CHANNEL_BY_LEVEL2, S.label, O.case_map), "account": (rules.ACCOUNT_MEASURE, S.label, O.case_map),
+    "planning_account": (rules.PLANNING_ACCOUNT_MEASURE, S.label, O.case_map),
+    "planning_entity": (rules.PLANNING_ENTITY_COUNTRY, S.label, O.case_map),
+    **{f"measure_{k}": ({m: x[k - 1] for m, x in rules.ACCOUNT_LABELS.items()}, S.label, O.case_map) for k in (1, 2, 3)},
+}
+
+
+def _c03_all(st: Stages) -> DataFrame:
+    line = F.coalesce(F.col("material").cast("bigint"), F.lit(0))
+    coded = st.i.ledger_lines.select("material", "doc_number", *[
+        F.element_at(F.array(*map(F.lit, [*t, "?"])), (line % (len(t) + 1) + 1).cast("int")).alias(n) for n, (t, *_) in CODE_TABLES.items()])
+    return coded.select("*", *[label(n, t).alias(f"{n}_label") for n, (t, label, _) in CODE_TABLES.items()])
+
+
+reg("c03_all_code_tables", _c03_all,
+    "(SELECT *, " + ", ".join(f"{case(n, t)} AS {n}_label" for n, (t, _, case) in CODE_TABLES.items())
+    + " FROM (SELECT material, doc_number, " + ", ".join(
+        f"[{', '.join(map(O.q, [*t, '?']))}][COALESCE(CAST(material AS BIGINT), 0) % {len(t) + 1} + 1] AS {n}"
+        for n, (t, *_) in CODE_TABLES.items()) + " FROM ledger_lines) coded) t",
+    ["material", "doc_number", *CODE_TABLES, *[f"{n}_label" for n in CODE_TABLES]])
+
+
 def _c04(st: Stages) -> DataFrame:
     keys = ledger.conformed_keys(st.p)
     return st.ledger_base.select(F.col("customer").alias("raw_customer"), F.col("sku").alias("raw_sku"),
