@@ -19,9 +19,16 @@ def con():
     return duck(SF)
 
 
+@pytest.fixture(scope="module")
+def stages(spark):
+    """One set of stages for all queries: what they store is stored once."""
+    return Q.Stages(Q.derived_inputs(spark, SF), Q.synthetic_params())
+
+
 @pytest.mark.parametrize("name", list(Q.REGISTRY))
-def test_query_matches_oracle(spark, con, name):
-    s = Q.run(name, spark, SF).toPandas()
+def test_query_matches_oracle(stages, con, name):
+    query = Q.REGISTRY[name]
+    s = Q.as_output(query.spark(stages), query.cols, query.nums).toPandas()
     d = con.execute(Q.oracle_sql()[name]).df()
     assert sorted(s.columns) == sorted(d.columns)
     assert len(s) == len(d)
