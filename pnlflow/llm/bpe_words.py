@@ -33,12 +33,14 @@ from pyspark.sql import functions as F
 
 from pnlflow.llm.common import slices, stored, texts
 from pnlflow.llm.packed import by_count, pack, pack_strings, unpack, unpack_strings
+from pnlflow.llm.vbyte_ids import decode as decode_small
+from pnlflow.llm.vbyte_ids import encode as encode_small
 from pnlflow.llm.word_codec import PieceCodec, _Numbers
 
 #: Splits a text before the merges; a fixed value of these vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Bytes of text in a block.
-BLOCK_BYTES = 12 << 20
+#: Bytes of text in a block: the larger, the fewer times a word travels.
+BLOCK_BYTES = 32 << 20
 
 
 class _Words(PieceCodec):
@@ -83,7 +85,7 @@ def _explode(pattern: str, buckets: int):
             home = (np.fromiter(map(zlib.crc32, byte), np.int64, len(byte)) % buckets).astype(np.uint32)
             order = np.argsort(home, kind="stable")  # by bucket, then by number
             rows = [{"block": block, "bucket": -1, "doc_ids": batch.column("doc_id").to_pylist(),
-                     "counts": pack(np.concatenate([p[1] for p in parts])), "homes": pack(home), "data": pack(place)}]
+                     "counts": pack(np.concatenate([p[1] for p in parts])), "homes": pack(home), "data": pack_strings([*encode_small(place)])}]
             edge = np.searchsorted(home[order], np.arange(buckets + 1))
             rows += [{"block": block, "bucket": b, "data": pack_strings([byte[i] for i in order[edge[b]:edge[b + 1]].tolist()])}
                      for b in range(buckets) if edge[b] < edge[b + 1]]
@@ -106,7 +108,8 @@ def _encode(path: str, pattern: str):
                         ids = known[w] = enc.encode_ordinary(w.decode("utf-8"))
                     got.append(ids)
                 size = np.fromiter(map(len, got), np.uint32, len(got))
-                out.append((pack(size), pack(np.fromiter((x for y in got for x in y), np.uint32, int(size.sum())))))
+                ids = np.fromiter((x for y in got for x in y), np.uint32, int(size.sum()))
+                out.append((pack(size), pack_strings([*encode_small(ids)])))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("block"), batch.column("bucket"), *(pa.array(c, pa.binary()) for c in zip(*out))] if out else
                 [pa.array([], k) for k in (pa.int64(), pa.int32(), pa.binary(), pa.binary())], names=["block", "bucket", "sizes", "ids"])
@@ -123,13 +126,14 @@ def _reassemble(path: str, with_ids: bool):
                 size, text, spelled = (np.empty(len(number), k) for k in (np.int64, object, object))
                 k = 0
                 for a in sorted(answers or [], key=lambda a: a["bucket"]):
-                    ids, end = unpack(a["ids"], np.uint32).tolist(), np.cumsum(unpack(a["sizes"], np.uint32)).tolist()
+                    end = np.cumsum(unpack(a["sizes"], np.uint32)).tolist()
+                    ids = decode_small(*unpack_strings(a["ids"]), end[-1]).tolist()
                     for x, y in zip([0, *end], end):
                         w, i = ids[x:y], number[k]
                         size[i], text[i], spelled[i] = y - x, b"".join([byte[j] for j in w]), ("%d," * (y - x) % tuple(w)).encode()
                         k += 1
-                place = unpack(data, np.uint32)
                 n = unpack(counts, np.int64)
+                place = decode_small(*unpack_strings(data), int(n.sum()))
                 edge = np.concatenate(([0], np.cumsum(n))).tolist()
                 rows = []
                 for a, b in zip(edge, edge[1:]):

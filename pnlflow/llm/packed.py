@@ -33,7 +33,7 @@ def unpack_rising(data: bytes | None) -> np.ndarray:
 
 def pack_strings(words: list[bytes]) -> bytes:
     size = np.fromiter(map(len, words), np.uint32, len(words))
-    return zstandard.ZstdCompressor(level=3).compress(np.uint32(len(words)).tobytes() + size.tobytes() + b"".join(words))
+    return zstandard.ZstdCompressor(level=6).compress(np.uint32(len(words)).tobytes() + size.tobytes() + b"".join(words))
 
 
 def unpack_strings(data: bytes) -> list[bytes]:
