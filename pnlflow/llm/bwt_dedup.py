@@ -44,6 +44,8 @@ from pnlflow.llm.common import opened, press, slices, spread, stored, utf8
 
 U = np.uint64
 _MUL = 0xD6E8FEB86659FD93
+#: Bytes of text hashed at a time: each needs about 100 bytes of numpy arrays.
+NUMPY_BYTES = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -242,7 +244,7 @@ def _find(s: Settings):
     """Document key, stretch (start, count), seed and the hash of its text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_64_intdigest
-        for batch in slices(batches):
+        for batch in slices(batches, most=NUMPY_BYTES):
             data, at = utf8(batch.column("text"))
             doc, start, count, seed, _ = stretches(data, at, s)
             begin = at[doc] + start
@@ -258,7 +260,7 @@ def _seeds(s: Settings):
     """Seeds and how often they occur in a slice."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, most=16 << 20):
-            found = [stretches(*utf8(b.column("text")), s, own=True)[3:] for b in slices([batch])]
+            found = [stretches(*utf8(b.column("text")), s, own=True)[3:] for b in slices([batch], most=NUMPY_BYTES)]
             seed, where = np.unique(np.concatenate([x for x, _ in found]), return_inverse=True)
             count = np.bincount(where, weights=np.concatenate([1 + y for _, y in found]), minlength=len(seed))
             yield pa.RecordBatch.from_arrays([pa.array(seed.view(np.int64)), pa.array(count.astype(np.int64))], names=["seed", "n"])

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import uuid
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +21,18 @@ from pnlflow.session import ensure_checkpoint_dir
 SLICE_BYTES = 4 << 20
 
 
+def reach(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, if it is not installed
+    (on a cluster: a shared path, or ``--py-files``)."""
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    known = [x for x in env.get("PYTHONPATH", "").split(os.pathsep) if x]
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([root, *known])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
+    reach(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -59,6 +71,19 @@ def slices(batches: Iterable[pa.RecordBatch], column: str = "text", most: int =
             stop = max(start + 1, int(np.searchsorted(end, before + most, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+    give_back()
+
+
+def give_back() -> None:
+    """Hand freed memory back to the system: Python workers outlive their tasks, and an executor's
+    workers share its limit with the JVM."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not glibc
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
 def utf8(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -191,7 +191,7 @@ SCHEMA = "doc_id long, lang_pred string, score double, n_windows long"
 def _apply(net: Network | None, whole_rows: bool = False):
     """Predictions, or with ``whole_rows`` the input's rows in a learned language."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, most=2 << 20):
+        for batch in slices(batches, most=1 << 20):
             data, at = utf8(batch.column("text"))
             n = batch.num_rows
             letters = sums((CLASSES[data] > 0) & (data < 128), at)

@@ -93,7 +93,7 @@ def _judge(bands: Bands, whole_rows: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=bands.level)
         size = lambda b: len(press.compress(b))
-        for batch in slices(batches):
+        for batch in slices(batches, most=1 << 20):
             data, at = utf8(batch.column("text"))
             docs, n = texts(batch.column("text")), batch.num_rows
             known, words, n_words = own_numbers(), [], np.zeros(n, np.int64)

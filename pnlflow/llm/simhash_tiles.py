@@ -54,7 +54,7 @@ def ones(hashes: np.ndarray, count: np.ndarray) -> np.ndarray:
 def _fingerprints(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh64_intdigest
-        for batch in slices(batches, most=2 << 20):
+        for batch in slices(batches, most=1 << 20):
             hashes: list[int] = []
             count = np.zeros(batch.num_rows, np.int64)
             for i, b in enumerate(texts(batch.column("text"))):

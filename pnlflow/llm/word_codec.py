@@ -12,8 +12,8 @@ import os
 
 import numpy as np
 
-#: Pieces remembered by a worker (about 200 MB); beyond, its memory starts anew.
-REMEMBERED = 1_200_000
+#: Pieces remembered by a worker (about 100 MB); beyond, its memory starts anew.
+REMEMBERED = 500_000
 #: A word of its own in any text, put between pieces that are encoded in one call.
 MARK, JOINED = "\x01", 64
 
