@@ -27,8 +27,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of smallest id of each group of near duplicates."""
-    return simhash_tiles.one_of_each(docs)
+    """Keeps one document of each group of near duplicates, that of smallest id.  Documents without
+    an id, or with an id that another text has too, are judged by their texts like all others."""
+    return simhash_tiles.one_of_each_group(docs)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

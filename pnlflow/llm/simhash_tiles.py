@@ -11,9 +11,11 @@ only a spanning forest of its links leaves the task, and connected components of
 forests are the groups.
 
 Defined results: null and empty texts (no words) have fingerprint 0 and link like any
-other.  Rows that repeat belong to the same component.  A row without doc_id gets a
-fingerprint, and the component of that fingerprint if a row with an id has one within
-reach, else null.  An empty table gives an empty result; further columns are ignored.
+other.  Rows that repeat belong to the same component, and rows that share an id are linked
+by their texts only.  Components are those of the rows with an id, and a component_id is the
+smallest id in it; a row without doc_id gets a fingerprint, and the component of that
+fingerprint if a row with an id has the same one, else null.  ``one_of_each_group`` groups
+all rows alike.  An empty table gives an empty result; further columns are ignored.
 
 The comparison is exact and so its work grows with the square of the distinct
 fingerprints, less what the tiles skip (about 97 % of the pairs for spread-out bits).
@@ -51,7 +53,8 @@ def ones(hashes: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.add.reduceat(np.ascontiguousarray(part).view(np.uint8).astype(np.int64), first, axis=0)
 
 
-def _fingerprints(shingle: int):
+def _marked(shingle: int):
+    """The other columns as they are, and for ``text`` its fingerprint ``fp``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh64_intdigest
         for batch in slices(batches, most=1 << 20):
@@ -72,14 +75,15 @@ def _fingerprints(shingle: int):
                 some = np.flatnonzero(count)
                 over = (2 * ones(np.array(hashes, np.uint64), count[some]) > count[some, None]).astype(np.uint8)
                 out[some] = np.packbits(over, axis=1, bitorder="little").view(np.uint64).ravel()
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(out.view(np.int64))], names=["doc_id", "fp"])
+            others = [c for c in batch.schema.names if c != "text"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), pa.array(out.view(np.int64))], names=[*others, "fp"])
     return run
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """doc_id and the fingerprint ``fp`` (the 64 bits as a long) of each whole text."""
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-            .mapInArrow(_fingerprints(shingle), "doc_id long, fp long"))
+            .mapInArrow(_marked(shingle), "doc_id long, fp long"))
 
 
 def steps(radius: int) -> list[tuple[int, ...]]:
@@ -146,17 +150,41 @@ def links(points: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFram
     return pairs.select("left", "right").mapInArrow(_compare(radius), "a long, b long").where("a <> b")
 
 
+def _grouped(marks: DataFrame, radius: int, tile: int) -> DataFrame:
+    """marks: rows with ``doc_id`` and ``fp``.  For each distinct fingerprint its group's ``root``
+    (the least fingerprint of the group) and ``component_id`` (the least id, null if none has one).
+    The fingerprints are the graph's nodes, so rows that share an id link nothing."""
+    points = stored(marks.groupBy("fp").agg(F.min("doc_id").alias("least")), "points")
+    group = components(links(points.select("fp", F.col("fp").alias("id")), radius, tile))
+    rooted = stored(points.join(group, points["fp"] == group["node"], "left").select("fp", F.coalesce("component", "fp").alias("root"), "least"), "rooted")
+    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    return rooted.drop("least").join(least, "root").select("fp", "root", "component_id")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id of the group)."""
     marks = stored(fingerprints(docs, shingle), "fingerprints")
-    points = stored(marks.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("id")), "points")
-    group = components(links(points, radius, tile))
-    named = points.join(group, points["id"] == group["node"], "left").select("fp", F.coalesce("component", "id").alias("component_id"))
-    return marks.join(named, "fp", "left").select(
+    return marks.join(_grouped(marks.where("doc_id is not null"), radius, tile), "fp", "left").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The documents of smallest doc_id of each group, whole rows; of rows that repeat an id, one."""
+    """The documents of smallest doc_id of each group, whole rows; of rows that repeat an id, one.
+    Rows without an id have no place in this result; ``one_of_each_group`` keeps them."""
     keep = near_duplicates(docs, shingle, radius).where("doc_id = component_id").select("doc_id").distinct()
     return docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+
+
+def one_of_each_group(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
+    """One whole row of each group of near duplicates: of smallest doc_id (none comes last), then of
+    least hash of the text.  A row without an id, or with another's, counts by its own text."""
+    named = docs.select(F.struct("*").alias("kept"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    place = ["none", "id", "hash", "other"]  # which row it is; two hashes, since ids may be missing
+    named = named.select("kept", "text", F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"),
+                         F.xxhash64("text").alias("hash"), F.xxhash64(F.lit(SEED), "text").alias("other"))
+    marks = stored(named.select(*place, "text").mapInArrow(_marked(shingle), "none boolean, id long, hash long, other long, fp long"), "fingerprints")
+    groups = _grouped(marks.select(F.when(~F.col("none"), F.col("id")).alias("doc_id"), "fp"), radius, tile)
+    least = marks.groupBy("fp").agg(F.min(F.struct(*place)).alias("first"))  # a group's first is among its fingerprints' firsts
+    keep = least.join(groups, "fp").groupBy("root").agg(F.min("first").alias("first")).select("first.*")
+    # rows that repeat are reduced before they are dealt out; the join then finds them in place
+    return named.drop("text").dropDuplicates(place).join(keep, place, "left_semi").select("kept.*")

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 import xxhash
 
+import corpus_pipeline
 from pnlflow.llm import bwt_dedup, simhash_tiles
 from pnlflow.llm.common import table
 from pnlflow.llm.components import components
@@ -68,6 +69,48 @@ def test_one_of_each(odd_docs, odd_rows):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(group.values()))
 
 
+def plain_text_groups(rows, radius=2):
+    """fingerprint -> smallest fingerprint reachable, rows without id included."""
+    fps = sorted({plain_fingerprint(t) for _, t in rows})
+    a, b = np.nonzero(np.bitwise_count(np.array(fps, np.uint64)[:, None] ^ np.array(fps, np.uint64)) <= radius)
+    return {f: fps[k] for f, k in zip(fps, simhash_tiles.forest(a, b, len(fps)).tolist())}
+
+
+@pytest.mark.parametrize("tile", [2048, 2])
+def test_one_of_each_group_loses_no_group(spark, odd_docs, odd_rows, tile):
+    kept = simhash_tiles.one_of_each_group(odd_docs, tile=tile)
+    assert kept.columns == odd_docs.columns and kept.dtypes == odd_docs.dtypes
+    rows, group = [(r.doc_id, r.text) for r in kept.collect()], plain_text_groups(odd_rows)
+    assert sorted(group[plain_fingerprint(t)] for _, t in rows) == sorted(set(group.values()))  # each group once
+    least = {}
+    for i, t in odd_rows:
+        g = group[plain_fingerprint(t)]
+        least[g] = min(least.get(g, (True, 0)), (i is None, i or 0))
+    assert all((i is None, i or 0) == least[group[plain_fingerprint(t)]] for i, t in rows)
+
+
+def test_stage_keeps_documents_without_and_with_shared_ids(spark):
+    rng = random.Random(17)
+    text = lambda: " ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(80))
+    copied, shared, early = text(), text(), text()
+    alone = [text() for _ in range(20)]
+    rows = [(None, t) for t in alone] + [(None, copied), (None, copied), (None, copied.upper())]  # a third without ids, and a group of them
+    rows += [(1, early), (7, early), (7, shared), (7, text()), (9, shared), (9, None)]
+    kept = corpus_pipeline.simhash_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
+    got = Counter((r.doc_id, r.text if r.doc_id is not None else (r.text or "").lower()) for r in kept)
+    assert got == Counter([(None, t) for t in alone] + [(None, copied), (1, early), (7, shared), rows[-3], (9, None)])
+
+
+def test_rows_that_share_an_id_link_nothing(spark):
+    rng = random.Random(18)
+    text = lambda: " ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(80))
+    one, two = text(), text()
+    docs = spark.createDataFrame([(3, one), (3, two), (5, two), (None, two), (2, one)], "doc_id long, text string")
+    got = {(r.doc_id, r.fingerprint): r.component_id for r in simhash_tiles.near_duplicates(docs).collect()}
+    a, b = (f"{plain_fingerprint(t):016x}" for t in (one, two))
+    assert got == {(3, a): 2, (2, a): 2, (3, b): 3, (5, b): 3, (None, b): 3}
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 80)] + [(7, 7), (300, 299), (299, 300)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
