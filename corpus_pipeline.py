@@ -17,7 +17,9 @@ from pnlflow.llm.common import stored, table, tokenizer_path
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents that are text in one of the learned languages: ``und`` goes."""
+    """Keeps documents that are text in one of the learned languages: ``und`` goes, that is null text,
+    text without letters, and what the network calls ``und`` if it was taught that label.  Where no
+    label is given, every text with letters stays."""
     return lang_cnn.spoken_rows(docs, lang_cnn.fit(docs))
 
 

@@ -189,7 +189,8 @@ SCHEMA = "doc_id long, lang_pred string, score double, n_windows long"
 
 
 def _apply(net: Network | None, whole_rows: bool = False):
-    """Predictions, or with ``whole_rows`` the input's rows in a learned language."""
+    """Predictions, or with ``whole_rows`` the input's rows in a learned language (without a
+    network: with letters)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, most=1 << 20):
             data, at = utf8(batch.column("text"))
@@ -209,7 +210,7 @@ def _apply(net: Network | None, whole_rows: bool = False):
                 score[spoken] = np.clip(mean[np.arange(n), best], 0, 1)[spoken]
                 count = np.bincount(owner, minlength=n)
             if whole_rows:
-                yield batch.filter(pa.array(names != UND))
+                yield batch.filter(pa.array(spoken if net is None else names != UND))
                 continue
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").cast(pa.int64()), pa.array(names.tolist(), pa.string()), pa.array(score), pa.array(count.astype(np.int64))],
@@ -224,5 +225,9 @@ def identify(docs: DataFrame, net: Network | None) -> DataFrame:
 
 
 def spoken_rows(docs: DataFrame, net: Network | None) -> DataFrame:
-    """The rows of ``docs`` that are text in a learned language, with all their columns."""
+    """The rows of ``docs`` that are text in a learned language, with all their columns.
+
+    The network chooses among the languages it was taught, so it rejects a text only if ``und``
+    is one of them and its answer; else what goes is null text and text without letters.
+    Without a network nothing is known of languages, and every text with letters stays."""
     return docs.mapInArrow(_apply(net, whole_rows=True), docs.schema)

@@ -1,5 +1,7 @@
 """The pipeline's stages, each on what its predecessor kept."""
 
+from collections import Counter
+
 import pytest
 
 import corpus_pipeline
@@ -55,3 +57,15 @@ def test_stages_on_odd_rows_and_empty_tables(spark, odd_docs, no_docs, k):
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF).count() > 100
     assert bwt_dedup and lang_cnn
+
+
+@pytest.mark.parametrize("lang", [None, "en"])
+def test_language_stage_without_a_network_keeps_text(spark, odd_rows, lang):
+    """No label at all, or none on a text with a window of 16 letters."""
+    rows = [(i, t, None) for i, t in odd_rows] + [(900, "short", lang)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert lang_cnn.fit(docs) is None
+    kept = corpus_pipeline.language_id(spark, docs, SF)
+    assert kept.columns == docs.columns
+    spoken = Counter((i, t) for i, t, _ in rows if any(c.isalpha() for c in t or ""))
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == spoken
