@@ -57,16 +57,22 @@ SCHEMA = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lin
           "base_failed boolean, kept boolean, n_bytes long, zstd_ratio double, n_chunks long, n_low_chunks long, n_high_chunks long")
 
 
+def window_keys(ids: np.ndarray, doc: np.ndarray, window: int) -> np.ndarray:
+    """A 64-bit key of each window of words and its document; different windows may share one."""
+    m = len(ids) - window + 1
+    key = doc[:m].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for j in range(window):
+        key = (key ^ (key >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + ids[j:m + j].astype(np.uint64)
+    return (key ^ (key >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+
+
 def repeated_words(ids: np.ndarray, doc: np.ndarray, n_docs: int, window: int = REPEAT_WINDOW) -> np.ndarray:
     """Per document, the words that lie in a window of words found twice or more in it.
     ids: the words' numbers, documents one after another; doc: each word's document."""
     m = len(ids) - window + 1
     if m < 2:
         return np.zeros(n_docs, np.int64)
-    key = doc[:m].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    for j in range(window):
-        key = (key ^ (key >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + ids[j:m + j].astype(np.uint64)
-    key = (key ^ (key >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+    key = window_keys(ids, doc, window)
     whole = doc[:m] == doc[window - 1:]
     at = np.flatnonzero(whole)
     order = at[np.argsort(key[at], kind="stable")]

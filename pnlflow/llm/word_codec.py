@@ -1,18 +1,21 @@
-"""Whole texts to token ids with the tokenizers library, each distinct piece encoded once.
+"""Whole texts to token ids with the tokenizers library, each distinct word encoded once.
 
-A text is cut where the vocabulary's own pre-tokenizer cuts in any case: at white space
-for vocabularies that drop it, before a single space for byte-level ones.  Each distinct
-piece goes through the library once; texts that hold no safe cut (runs of spaces, space
-before other white space) go through it whole.  The ids are those of the whole text.
+``WordCodec`` cuts a text where the vocabulary's own pre-tokenizer cuts in any case, and each distinct
+word goes through the library once.  ``PieceCodec`` cuts at spaces alone: at white space for
+vocabularies that drop it, before a single space for byte-level ones; texts that hold no safe cut (runs
+of spaces, space before other white space) go through whole.  The ids are those of the whole text.
 """
 
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 
-#: Pieces remembered by a worker (about 100 MB); beyond, its memory starts anew.
+from pnlflow.llm.pieces import PieceMemory, byte_level_words, spaceless_words, windows
+
+#: Pieces that PieceCodec remembers (about 100 MB); beyond, its memory starts anew.
 REMEMBERED = 500_000
 #: A word of its own in any text, put between pieces that are encoded in one call.
 MARK, JOINED = "\x01", 64
@@ -99,29 +102,42 @@ class PieceCodec:
         return ids, count
 
 
-class WordCodec(PieceCodec):
-    """A vocabulary file of the tokenizers library."""
+class WordCodec:
+    """A vocabulary file of the tokenizers library.  Added tokens found in a text are tokens of their own,
+    as the library has it, or ordinary text (``plain_added``)."""
 
-    def __init__(self, path: str, keeps_space: bool) -> None:
+    def __init__(self, path: str, keeps_space: bool, plain_added: bool = False) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        super().__init__(keeps_space)
-
+        if plain_added:
+            self.tokenizer.encode_special_tokens = True
+        self.keeps_space = keeps_space
+        self.memory = PieceMemory(byte_level_words if keeps_space else spaceless_words, self._apart if keeps_space else self._marked)
+        added = [] if plain_added else [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(added)) if added else None
         mark = self._ids([MARK])[0]
         self.mark = mark[0] if len(mark) == 1 and not keeps_space else None
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        """White space that is dropped leaves pieces as they are, so many go in one call."""
-        if self.mark is None or any(MARK in t for t in texts):
-            return self._ids(texts)
+    def _apart(self, words: list[str]) -> list[list[int]]:
+        """Many words in one call, each on its own."""
+        out: list[list[int]] = [[] for _ in words]
+        for k in range(0, len(words), JOINED):
+            e = self.tokenizer.encode(words[k:k + JOINED], is_pretokenized=True, add_special_tokens=False)
+            for word, i in zip(e.word_ids, e.ids):
+                out[k + word].append(i)
+        return out
+
+    def _marked(self, words: list[str]) -> list[list[int]]:
+        """White space is dropped, so many words go in one call with marks between them."""
+        if self.mark is None or any(MARK in t for t in words):
+            return self._ids(words)
         out: list[list[int]] = []
-        for ids in self._ids([f" {MARK} ".join([*texts[k:k + JOINED], ""]) for k in range(0, len(texts), JOINED)]):
+        for ids in self._ids([f" {MARK} ".join([*words[k:k + JOINED], ""]) for k in range(0, len(words), JOINED)]):
             begin = 0
             for _ in range(ids.count(self.mark)):
                 end = ids.index(self.mark, begin)
@@ -129,15 +145,37 @@ class WordCodec(PieceCodec):
                 begin = end + 1
         return out
 
+    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of all texts, and how many each text has.  A long text passes in windows; a text that
+        holds an added token goes through the library whole."""
+        whole: dict[int, np.ndarray] = {}
+        row, parts = [], []
+        for i, raw in enumerate(texts):
+            text = raw.decode()
+            if self.added and self.added.search(text):
+                whole[i] = np.array(self._ids([text])[0], np.uint32)
+            else:
+                front = list(windows(text))
+                row += [i] * len(front)
+                parts += front
+        ids, size = self.memory.encode(parts)
+        count = np.bincount(np.array(row, np.int64), weights=size, minlength=len(texts)).astype(np.int64)
+        if whole:
+            at = np.concatenate(([0], np.cumsum(count)))
+            ids = np.concatenate([whole.get(i, ids[at[i]:at[i + 1]]) for i in range(len(texts))])
+            count = np.array([len(whole[i]) if i in whole else c for i, c in enumerate(count.tolist())], np.int64)
+        return ids, count
+
 
-_codecs: dict[tuple[str, bool], WordCodec] = {}
+_codecs: dict[tuple, WordCodec] = {}
 
 
-def codec(path: str, keeps_space: bool) -> WordCodec:
+def codec(path: str, keeps_space: bool, plain_added: bool = False) -> WordCodec:
     """The worker's own codec; it outlives a task, so a piece is seldom encoded twice."""
-    if (path, keeps_space) not in _codecs:
-        _codecs[path, keeps_space] = WordCodec(path, keeps_space)
-    return _codecs[path, keeps_space]
+    key = (path, keeps_space, plain_added)
+    if key not in _codecs:
+        _codecs[key] = WordCodec(*key)
+    return _codecs[key]
 
 
 def with_end(ids: np.ndarray, count: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:

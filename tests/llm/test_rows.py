@@ -54,12 +54,13 @@ def test_bands_reject_repetition_and_noise(odd_docs, odd_rows):
     assert got[14].kept
 
 
-def test_repeated_words_when_hashes_collide(monkeypatch):
-    ids, doc = np.array([1, 2, 3, 4, 5, 9, 1, 2, 3, 4, 5, 7, 7]), np.zeros(13, np.int64)
-    assert quality_bands.repeated_words(ids, doc, 1).tolist() == [10]
-    real = np.argsort
-    monkeypatch.setattr(quality_bands.np, "argsort", lambda k, kind=None: real(k * np.uint64(0), kind=kind))
-    assert quality_bands.repeated_words(ids, doc, 1).tolist() == [10]
+@pytest.mark.parametrize("key", [0, 1, 3])
+def test_repeated_words_when_hashes_collide(monkeypatch, key):
+    """Windows share a key: all of them, or ``key`` classes of windows."""
+    ids, doc = np.array([1, 2, 3, 4, 5, 9, 1, 2, 3, 4, 5, 7, 7, 8, 8, 8, 8, 8]), np.array([0] * 13 + [1] * 5)
+    assert quality_bands.repeated_words(ids, doc, 2).tolist() == [10, 0]
+    monkeypatch.setattr(quality_bands, "window_keys", lambda ids, doc, window: np.arange(len(ids) - window + 1, dtype=np.uint64) % np.uint64(key + 1) * np.uint64(key > 0))
+    assert quality_bands.repeated_words(ids, doc, 2).tolist() == [10, 0]
 
 
 def test_good_documents_stay(spark):

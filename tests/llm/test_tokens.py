@@ -20,8 +20,7 @@ from tests.llm.test_rows import WORD
 
 
 def plain_ids(name, text):
-    t = Tokenizer.from_file(tokenizer_path(name))
-    t.encode_special_tokens = True
+    t = Tokenizer.from_file(tokenizer_path(name))  # as it is: added tokens in a text are found
     return t.encode(text or "", add_special_tokens=False).ids
 
 
@@ -35,13 +34,16 @@ def odd_texts():
     return ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60))) for _ in range(400)]
 
 
+@pytest.mark.parametrize("plain", [False, True])
 @pytest.mark.parametrize("name,keeps", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
-def test_codec_equals_the_library(name, keeps, odd_rows):
-    texts = odd_texts() + [t or "" for _, t in odd_rows]
-    ids, count = codec(tokenizer_path(name), keeps).encode([t.encode() for t in texts])
+def test_codec_equals_the_library(name, keeps, plain, odd_rows):
+    texts = odd_texts() + [t or "" for _, t in odd_rows] + ["hi <|endoftext|> you", "<|startoftext|>A<|endoftext|>", "<|endoftext|" * 9, "İstanbul ŉ ƁƂ Ⱥ"]
+    texts += [f"a{chr(k)}b {chr(k)}1{chr(k)} {chr(k)}{chr(k)} x" for k in [*range(0x3100), *range(0xA000, 0xB000), *range(0x1F000, 0x1F100)]]
+    ids, count = codec(tokenizer_path(name), keeps, plain).encode([t.encode() for t in texts])
     edge = np.concatenate(([0], np.cumsum(count)))
     t = Tokenizer.from_file(tokenizer_path(name))
-    t.encode_special_tokens = True
+    if plain:
+        t.encode_special_tokens = True
     for k, text in enumerate(texts):
         assert ids[edge[k]:edge[k + 1]].tolist() == t.encode(text, add_special_tokens=False).ids, text
 
