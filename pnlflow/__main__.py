@@ -19,7 +19,9 @@ from pnlflow.operators.joins import clear_stored  # noqa: E402
 from pnlflow.plans.pipeline import full_pnl  # noqa: E402
 from pnlflow.rules import JobParams  # noqa: E402
 from pnlflow.session import JOB_CONF, ensure_checkpoint_dir  # noqa: E402
-from pnlflow.sources.inputs import INPUT_NAMES, read_inputs, write_result  # noqa: E402
+from pnlflow.plans.figures import Figures  # noqa: E402
+from pnlflow.sources.inputs import INPUT_NAMES, read_inputs  # noqa: E402
+from pnlflow.sources.results import replace_periods, replace_result  # noqa: E402
 
 
 def _value(text: str, default: object) -> object:
@@ -33,8 +35,10 @@ def parse(argv: list[str]) -> tuple[argparse.Namespace, JobParams]:
     p.add_argument("--input", action="append", default=[], metavar="NAME=LOCATION", help=f"one for each of {', '.join(INPUT_NAMES)}; planning_account_hier is optional")
     p.add_argument("--column", action="append", default=[], metavar="NAME.COLUMN=SOURCE", help="a logical column's name in its source")
     p.add_argument("--format", default="parquet", help="format of the inputs, or 'table' for catalog tables")
-    p.add_argument("--target", required=True, help="path or table to replace")
+    p.add_argument("--target", required=True, help="path or table to replace; the old result stays until the new one is complete")
     p.add_argument("--as-table", action="store_true")
+    p.add_argument("--periods-only", action="store_true", help="replace only the periods of this run in a target folder laid out by period")
+    p.add_argument("--strict", action="store_true", help="fail if a conservation figure does not agree")
     defaults = JobParams()
     for f in dataclasses.fields(JobParams):
         p.add_argument("--" + f.name.replace("_", "-"), default=None, help=f"default: {getattr(defaults, f.name)}")
@@ -51,6 +55,12 @@ def parse(argv: list[str]) -> tuple[argparse.Namespace, JobParams]:
     return a, JobParams(**given)
 
 
+def show(figures: Figures, strict: bool) -> None:
+    """Print what each step conserved; runs before the old result goes."""
+    for line in figures.report(strict):
+        print(line)
+
+
 def main(argv: list[str], spark: SparkSession | None = None) -> None:
     a, params = parse(argv)
     if spark is None:
@@ -60,7 +70,12 @@ def main(argv: list[str], spark: SparkSession | None = None) -> None:
         spark = builder.getOrCreate()
     ensure_checkpoint_dir(spark)
     try:
-        write_result(full_pnl(read_inputs(spark, a.locations, a.format, a.columns), params), a.target, a.as_table)
+        figures = Figures()
+        result = full_pnl(read_inputs(spark, a.locations, a.format, a.columns), params, figures)
+        if a.periods_only:
+            replace_periods(result, a.target, lambda rows: show(figures, a.strict))
+        else:
+            replace_result(result, a.target, a.as_table, lambda rows: show(figures, a.strict))
     finally:
         clear_stored(spark)
 

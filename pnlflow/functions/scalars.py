@@ -59,28 +59,11 @@ def month_name_date(year: str | Column, month_name: str | Column, names: Iterabl
 
 
 def label(c: str | Column, mapping: Mapping, default: Column | None = None) -> Column:
-    """Code -> label through a small fixed table; first match wins, unmatched -> default/NULL."""
-    c = col(c)
-    expr = None
-    for code, value in mapping.items():
-        expr = (F.when(c == F.lit(code), F.lit(value)) if expr is None
-                else expr.when(c == F.lit(code), F.lit(value)))
-    if expr is None:
-        return default if default is not None else F.lit(None)
-    return expr.otherwise(default) if default is not None else expr
-
-
-def grouped_label(c: str | Column, groups: Mapping[str, str]) -> Column:
-    """C3 for 'code in set -> label' tables given as code -> label."""
-    by_label: dict[str, list[str]] = {}
-    for code, value in groups.items():
-        by_label.setdefault(value, []).append(code)
-    c = col(c)
-    expr = None
-    for value, codes in by_label.items():
-        cond = c.isin(*codes)
-        expr = F.when(cond, F.lit(value)) if expr is None else expr.when(cond, F.lit(value))
-    return expr
+    """Code -> label through a small fixed table, held as one literal map; unmatched -> default/NULL."""
+    if not mapping:
+        return F.lit(None) if default is None else default
+    found = F.create_map(*[F.lit(x) for entry in mapping.items() for x in entry])[col(c)]
+    return found if default is None else F.coalesce(found, default)
 
 
 def safe_divide(a: str | Column, b: str | Column) -> Column:

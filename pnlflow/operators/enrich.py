@@ -100,7 +100,7 @@ def orphan_totals(flagged: DataFrame, period: str = "period_year") -> DataFrame:
     entry."""
     orphan = ~F.col("has_product") | ~F.col("has_customer")
     return (flagged.groupBy(period)
-            .agg(F.sum(F.when(orphan, F.col("cogs_manufacturing"))).alias("cogs_manufacturing_dis"),
-                 F.sum(F.when(F.col("has_product"), F.col("volume_net"))).alias("volume_net_year"),
+            .agg(F.sum(F.when(orphan, F.col("cogs_manufacturing"))).alias("pool_cost"),
+                 F.sum(F.when(F.col("has_product"), F.col("volume_net"))).alias("period_volume"),
                  F.count_if(orphan).alias("__orphans"))
             .where("__orphans > 0").drop("__orphans"))

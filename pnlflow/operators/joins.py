@@ -11,7 +11,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -53,7 +53,24 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_by_key(df: DataFrame, keys: Sequence[str], **added: Column) -> DataFrame:
+    """Store ``df`` bucketed by ``keys``, one file a bucket, as a table below the shared folder: later
+    groupings and windows over the keys, or over more columns, run on the files as they lie.
+    ``added``: columns computed in that partitioning, for example by a window over the keys."""
+    spark = df.sparkSession
+    n, name = int(spark.conf.get("spark.sql.shuffle.partitions")), f"{_table_prefix(spark)}{uuid.uuid4().hex}"
+    dealt = df.repartition(n, *keys)
+    (dealt.withColumns(added) if added else dealt).write.format("parquet").bucketBy(n, *keys).option("path", f"{_scratch(spark)}/{name}").saveAsTable(name)
+    return spark.read.table(name)
+
+
+def _table_prefix(spark: SparkSession) -> str:
+    return "stored_" + "".join(c if c.isalnum() else "_" for c in spark.sparkContext.applicationId.lower()) + "_"
+
+
 def clear_stored(spark: SparkSession) -> None:
     """Remove all stored tables of this application; call it once its results are written."""
+    for t in spark.catalog.listTables(pattern=f"{_table_prefix(spark)}*"):
+        spark.sql(f"DROP TABLE IF EXISTS {t.name}")
     path = spark._jvm.org.apache.hadoop.fs.Path(_scratch(spark))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pnlflow import rules
 from pnlflow.functions import scalars as S
 from pnlflow.rules import JobParams
+from pnlflow.sources.layout import in_window
 
 COST_MAN = [f"cost_man_{i}" for i in range(1, 9)]
 COST_LOG = [f"cost_log_{i}" for i in range(1, 5)]
@@ -99,7 +100,7 @@ def ledger_base(lines: DataFrame, p: JobParams) -> DataFrame:
     order, currency).  The company is a run parameter, so its rule branches are
     resolved here and every measure stays a plain SUM (partial aggregation
     before the shuffle)."""
-    return (lines.where(ledger_predicate(p))
+    return (in_window(lines, p.period_start, p.period_end).where(ledger_predicate(p))
             .select("fiscper", "comp_code", S.strip_zeros_trim("material").alias("sku"), "customer",
                     "doc_number", company_currency(p).alias("currency_copa"),
                     "volume", _gross(p).alias("gross"),

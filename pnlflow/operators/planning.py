@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from pnlflow import rules
 from pnlflow.functions import scalars as S
+from pnlflow.operators.accounts import derive_long, job_formulas
 from pnlflow.operators.joins import stored
 from pnlflow.rules import JobParams
+from pnlflow.sources.layout import in_window
 
 BASE_KEYS = ["scenario", "date", "account", "entity", "product", "currency", "channel", "version"]
 ENRICHED_KEYS = ["sku", "channel", "category", "date", "scenario", "format_flavor", "subbrand", "brand",
@@ -19,7 +21,7 @@ VALUES = ["value_lcl", "value_usd"]
 
 def planning_base(facts: DataFrame, p: JobParams) -> DataFrame:
     """A19 (+ F1, F4, F7, F8): one scenario and entity, excluded accounts dropped, date window."""
-    return (facts.where((F.col("scenario") == F.lit(rules.PLANNING_SCENARIO))
+    return (in_window(facts, p.period_start, p.period_end).where((F.col("scenario") == F.lit(rules.PLANNING_SCENARIO))
                         & ~F.col("account").isin(*rules.PLANNING_EXCLUDED_ACCOUNTS)
                         & F.col("entity").isin(p.entity)
                         & F.col("date").between(F.lit(p.period_start), F.lit(p.period_end)))
@@ -29,7 +31,8 @@ def planning_base(facts: DataFrame, p: JobParams) -> DataFrame:
 
 def product_rollup(product_hier: DataFrame, brand_hier: DataFrame) -> DataFrame:
     """A20 (+ J1): one row per (category, brand, brand segment, sub-brand) with an
-    arbitrary SKU and format/flavor; MIN makes the choice deterministic."""
+    arbitrary SKU and format/flavor; MIN makes the choice deterministic.  Each is the least of its own
+    column, so the SKU and the flavor may be those of different products."""
     brands = brand_hier.select("brand_segment", "brand")
     return (product_hier.join(brands, product_hier["bws"] == brands["brand_segment"], "left")
             .groupBy("category", "brand", "bws", F.col("bws_desc").alias("subbrand"))
@@ -100,13 +103,5 @@ def planning_net_revenue(enriched: DataFrame) -> DataFrame:
     This is the single aggregate that the pivot -> derive -> unpivot -> filter
     chain reduces to (the label filter cannot be pushed through a generic
     unpivot)."""
-    keys = [k for k in ENRICHED_KEYS if k != "cuenta"]
-    is_gs = F.col("cuenta") == F.lit("GROSS_SALES")
-    is_g2n = F.col("cuenta") == F.lit("G2N")
-    sums = enriched.groupBy(*keys).agg(
-        *[F.sum(F.when(is_gs, F.col(v))).alias(f"__gs_{v}") for v in VALUES],
-        *[F.sum(F.when(is_g2n, F.col(v))).alias(f"__g2n_{v}") for v in VALUES])
-    nr = {v: F.col(f"__gs_{v}") - S.negate(f"__g2n_{v}") for v in VALUES}
-    return (sums.where(nr["value_lcl"].isNotNull() | nr["value_usd"].isNotNull())
-            .select(*keys, F.lit("NET_REVENUE").alias("cuenta"),
-                    *[S.zero_if_null(nr[v]).alias(v) for v in VALUES]))
+    return derive_long(enriched, [k for k in ENRICHED_KEYS if k != "cuenta"], "cuenta", VALUES, job_formulas("null"), ["NET_REVENUE"]).select(
+        *enriched.columns)

@@ -7,16 +7,18 @@ from pyspark.sql import functions as F
 
 from pnlflow import rules
 from pnlflow.functions import scalars as S
+from pnlflow.operators.accounts import evaluate, job_formulas
 from pnlflow.operators.joins import stored
 from pnlflow.operators.reshape import pivot_sum
 from pnlflow.rules import JobParams
+from pnlflow.sources.layout import in_window
 
 REPORTING_MEASURES = ["COGS_MANUFACTURING", "COGS_LOGISTIC", "GROSS_SALES", "G2N", "VOLUME"]
 
 
 def reporting_scope(facts: DataFrame, p: JobParams) -> DataFrame:
     """One entity, local currency, strictly after the start date (no upper bound)."""
-    return facts.where((F.col("entity") == F.lit(p.entity))
+    return in_window(facts, p.reporting_start, None).where((F.col("entity") == F.lit(p.entity))
                        & (F.col("currency") == F.lit(rules.REPORTING_CURRENCY))
                        & (F.col("date") > F.lit(p.reporting_start)))
 
@@ -58,7 +60,7 @@ def reporting_wide(extracts: DataFrame) -> DataFrame:
     labelled = extracts.select(
         "period_year",
         S.label("account", rules.ACCOUNT_MEASURE).alias("account"),
-        S.grouped_label("entity", rules.ENTITY_COUNTRY).alias("country"),
+        S.label("entity", rules.ENTITY_COUNTRY).alias("country"),
         "sku", "value")
     return pivot_sum(labelled, ["period_year", "country", "sku"], "account", "value", REPORTING_MEASURES)
 
@@ -66,15 +68,13 @@ def reporting_wide(extracts: DataFrame) -> DataFrame:
 def reporting_measures(wide: DataFrame) -> DataFrame:
     """A11 + D7: per (sku, period, country) with sign flips and derived net revenue /
     gross profit.  The pivot already yields one row per key, so no regrouping."""
-    cm, cl, gs, g2n = (F.col(c) for c in ("COGS_MANUFACTURING", "COGS_LOGISTIC", "GROSS_SALES", "G2N"))
-    z = S.zero_if_null
-    net = z(gs) - S.negate(z(g2n))
+    made = evaluate(job_formulas("zero"), {m: F.col(m) for m in REPORTING_MEASURES})
     return wide.select(
         "sku", "period_year", "country",
-        S.negate(z(cm)).alias("cogs_manufacturing"),
-        S.negate(cl).alias("cogs_logistic"),
-        gs.alias("gross_sales"),
-        S.negate(g2n).alias("g2n"),
+        S.negate(S.zero_if_null("COGS_MANUFACTURING")).alias("cogs_manufacturing"),
+        S.negate("COGS_LOGISTIC").alias("cogs_logistic"),
+        F.col("GROSS_SALES").alias("gross_sales"),
+        S.negate("G2N").alias("g2n"),
         F.col("VOLUME").alias("volume"),
-        net.alias("net_revenue"),
-        (net - S.negate(z(cm) + z(cl))).alias("gross_profit"))
+        made["NET_REVENUE"].alias("net_revenue"),
+        made["GROSS_PROFIT"].alias("gross_profit"))

@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pnlflow.operators import allocate, enrich, fx, ledger, output, planning, reconcile, reporting
-from pnlflow.operators.joins import materialize, stored
+from pnlflow.operators.joins import stored
 from pnlflow import rules
+from pnlflow.plans.figures import Figures
 from pnlflow.rules import JobParams
 from pnlflow.sources.inputs import Inputs
 
@@ -26,9 +27,13 @@ SIGN_GROUP = ["sku", "country", "period_year", "sales_order"]
 
 
 class Stages:
-    def __init__(self, inputs: Inputs, params: JobParams):
+    def __init__(self, inputs: Inputs, params: JobParams, figures: Figures | None = None):
         self.i = inputs
         self.p = params
+        self.figures = figures
+
+    def _watch(self, df: DataFrame, name: str, **sums) -> DataFrame:
+        return df if self.figures is None else self.figures.watch(df, name, **sums)
 
     # --- actuals: ledger -> allocated customer rows ---------------------------
     @functools.cached_property
@@ -67,42 +72,60 @@ class Stages:
     def orphan_pool(self) -> DataFrame:  # stage 9
         cols = ["period_year", "sku", *enrich.MEASURES]
         return (self.orphan_sku.select(*cols).unionByName(self.orphan_customer.select(*cols))
-                .groupBy("period_year").agg(F.sum("cogs_manufacturing").alias("cogs_manufacturing_dis")))
+                .groupBy("period_year").agg(F.sum("cogs_manufacturing").alias("pool_cost")))
 
     @functools.cached_property
     def flagged(self) -> DataFrame:  # stages 5-8 in one pass; the job reads the ledger through this table only
-        return materialize(enrich.attach_dimensions(self.ledger_conformed, self.product_dim, self.customer_dim))
+        return stored(enrich.attach_dimensions(self.ledger_conformed, self.product_dim, self.customer_dim))
 
     @functools.cached_property
     def period_totals(self) -> DataFrame:  # stage 9 and the totals of stage 12
-        return stored(enrich.orphan_totals(self.flagged))
+        totals = enrich.orphan_totals(self.flagged)
+        return stored(self._watch(totals, "pool", pool_cost=F.when(F.col("period_volume") != 0, F.col("pool_cost"))))
 
     @functools.cached_property
     def pool_spread(self) -> DataFrame:  # stages 10-13
         rows = self.flagged.where("has_product").drop(*enrich.MATCHES)
-        return allocate.spread_pool(rows, self.period_totals, "period_year", "volume_net", "cogs_manufacturing",
-                                    "cogs_manufacturing_dis", "volume_net_year")
+        args = (rows, self.period_totals, "period_year", "volume_net", "cogs_manufacturing", "pool_cost", "period_volume")
+        if self.figures is None:
+            return allocate.spread_pool(*args)
+        spread = allocate.spread_pool(*args, parts=True)
+        return self._watch(spread, "spread", before="__before", after="cogs_manufacturing",
+                           unborne=F.when(F.col("__before").isNull(), F.col("__share"))).drop("__before", "__share")
+
+    @functools.cached_property
+    def sign_table(self) -> allocate.SignTable:  # stage 14: the rows that all allocation reads, stored once
+        return allocate.sign_table(self.pool_spread, SIGN_GROUP, ["sku", *SCOPE], "volume_net", counted=self.flagged.where("has_product"))
 
     @functools.cached_property
-    def sign_split(self) -> tuple[DataFrame, DataFrame]:  # stage 14
-        return allocate.split_by_net_sign(self.pool_spread, SIGN_GROUP, "volume_net")
+    def cascade_factors(self) -> DataFrame:  # stages 15-16, per allocation cell; stored so that its size is known
+        return stored(allocate.cascade_factors([df for df, _ in self.sign_table.positive], CASCADE_LEVELS, SCOPE,
+                                               "volume_net", "cogs_manufacturing"))
 
     @functools.cached_property
-    def positive_allocated(self) -> DataFrame:  # stages 15-17
-        pos, _ = self.sign_split
-        return allocate.cascade_allocate(pos, CASCADE_LEVELS, SCOPE, "volume_net", "cogs_manufacturing",
-                                         "cm_adjusted")
+    def positive_parts(self) -> list[DataFrame]:  # stage 17
+        return [allocate.apply_factors(df, self.cascade_factors, [*CASCADE_LEVELS, *SCOPE], "volume_net", "cost_share")
+                for df, _ in self.sign_table.positive]
 
     @functools.cached_property
-    def negative_allocated(self) -> DataFrame:  # stages 18-19
-        _, neg = self.sign_split
-        return allocate.prorate_within(neg, ["sku", *SCOPE], "volume_net", "cogs_manufacturing", "cm_adjusted")
+    def negative_parts(self) -> list[DataFrame]:  # stages 18-19
+        return [allocate.prorate_within(df, ["sku", *SCOPE], "volume_net", "cogs_manufacturing", "cost_share", bounded)
+                for df, bounded in self.sign_table.negative]
+
+    @property
+    def positive_allocated(self) -> DataFrame:
+        return allocate.union_all(self.positive_parts)
+
+    @property
+    def negative_allocated(self) -> DataFrame:
+        return allocate.union_all(self.negative_parts)
 
     @functools.cached_property
     def actuals_customer(self) -> DataFrame:  # stage 20
-        # read by the reconciliation and by the output union: checkpointed once
-        return materialize(allocate.allocated_rollup(self.positive_allocated)
-                           .unionByName(allocate.allocated_rollup(self.negative_allocated)))
+        # read by the reconciliation and by the output union: stored once.  Parts share no sku and period, so each is rolled up where it lies
+        parts = [(f"positive#{k}", df) for k, df in enumerate(self.positive_parts)] + [(f"negative#{k}", df) for k, df in enumerate(self.negative_parts)]
+        return stored(allocate.union_all([allocate.allocated_rollup(self._watch(df, name, cost="cogs_manufacturing", share="cost_share"))
+                                          for name, df in parts]))
 
     # --- reporting system and reconciliation ---------------------------------
     @functools.cached_property
@@ -119,7 +142,10 @@ class Stages:
 
     @functools.cached_property
     def reconcile_delta(self) -> DataFrame:  # stage 23
-        return reconcile.reconcile_delta(self.reporting_measures, self.actuals_customer)
+        if self.figures is None:
+            return reconcile.reconcile_delta(self.reporting_measures, self.actuals_customer)
+        money = sum(F.coalesce(F.col(m), F.lit(0)) for m in reconcile.DELTA_MEASURES if m != "volume")
+        return reconcile.reconcile_delta(self._watch(self.reporting_measures, "reported", reported=money), self.actuals_customer, self._watch)
 
     @functools.cached_property
     def exchange_rates(self) -> DataFrame:  # stages 24-27
@@ -135,8 +161,8 @@ class Stages:
 
     @functools.cached_property
     def pnl_fx(self) -> DataFrame:  # stages 30-31: converted in wide form, then one row per account
-        return fx.convert_wide(output.pnl_wide(self.pnl_union), self.exchange_rates, output.FX_KEYS,
-                               list(rules.ACTUAL_MEASURES))
+        rows = self.pnl_union.withColumnsRenamed({m: m.upper() for m in output.WIDE_MEASURES})
+        return fx.convert_wide(rows, self.exchange_rates, output.FX_KEYS, list(rules.ACTUAL_MEASURES))
 
     @functools.cached_property
     def actuals_final(self) -> DataFrame:  # stage 32
@@ -170,6 +196,6 @@ class Stages:
         return output.final_union(self.actuals_final, self.planning_final)
 
 
-def full_pnl(inputs: Inputs, params: JobParams) -> DataFrame:
-    """The 22-column customer P&L table."""
-    return Stages(inputs, params).result
+def full_pnl(inputs: Inputs, params: JobParams, figures: Figures | None = None) -> DataFrame:
+    """The 22-column customer P&L table.  ``figures`` takes the conservation sums of the run."""
+    return Stages(inputs, params, figures).result

@@ -17,7 +17,10 @@ from pyspark.sql import types as T
 
 from pnlflow import rules
 from pnlflow.functions import scalars as S
-from pnlflow.operators import allocate, enrich, fx, ledger, output, planning, reconcile, reporting, reshape
+from pnlflow.functions.codes import CodeTable
+from pnlflow.operators import allocate, enrich, fx, guard, ledger, output, planning, reconcile, reporting, reshape
+from pnlflow.operators.accounts import derive_long, job_formulas
+from pnlflow.operators.levels import cost_balance, level_check
 from pnlflow.plans import oracle as O
 from pnlflow.plans.pipeline import CASCADE_LEVELS, SCOPE, SIGN_GROUP, Stages
 from pnlflow.rules import JobParams, synthetic_params
@@ -143,7 +146,7 @@ CONF_COLS = ["country", "customer", "period_year", "sku", "sales_order", "curren
 reg("a02_conformed_rollup", lambda st: st.ledger_conformed, "o_conf", CONF_COLS, M5)
 reg("a05_dedupe_max", lambda st: st.ledger_product_customer, "o_lpc", ROW_DIMS + M5, M5)
 ACT_COLS = allocate.ROLLUP_DIMS + ["cogs_manufacturing", "cogs_logistic", "g2n", "gross_sales", "volume_net",
-                                   "cm_adjusted"]
+                                   "cost_share"]
 ACT_NUMS = ACT_COLS[12:]
 reg("a08_allocated_rollup", lambda st: st.actuals_customer, "o_actuals", ACT_COLS, ACT_NUMS)
 reg("f10_having_any_nonzero", lambda st: allocate.allocated_rollup(st.negative_allocated),
@@ -186,16 +189,16 @@ reg("j05_customer_left_distinct", lambda st: enrich.join_customer_attributes(st.
 reg("j06_orphan_customer_anti", lambda st: st.orphan_customer, "o_orphan_customer", ORPH_COLS, M5)
 reg("j07_attach_pool_inner",
     lambda st: allocate.attach_per_period(st.ledger_product_customer, st.orphan_pool, "period_year"),
-    "o_with_pool", ROW_DIMS + M5 + ["cogs_manufacturing_dis"], M5 + ["cogs_manufacturing_dis"])
+    "(SELECT r.*, p.pool_cost FROM o_lpc r JOIN o_period p USING (period_year)) t", ROW_DIMS + M5 + ["pool_cost"], M5 + ["pool_cost"])
 def _j08(st: Stages) -> DataFrame:
     with_pool = allocate.attach_per_period(st.ledger_product_customer, st.orphan_pool, "period_year")
-    total = allocate.period_total(with_pool, "period_year", "volume_net", "volume_net_year")
+    total = allocate.period_total(with_pool, "period_year", "volume_net", "period_volume")
     return allocate.attach_per_period(with_pool, total, "period_year")
 
 
 reg("j08_self_total", _j08,
-    "o_with_pool a JOIN o_period_volume b USING (period_year)",
-    ROW_DIMS + M5 + ["cogs_manufacturing_dis", "volume_net_year"], M5 + ["cogs_manufacturing_dis", "volume_net_year"])
+    "o_lpc JOIN o_period USING (period_year)",
+    ROW_DIMS + M5 + ["pool_cost", "period_volume"], M5 + ["pool_cost", "period_volume"])
 
 
 def _j09(st: Stages) -> DataFrame:
@@ -271,12 +274,12 @@ reg("j16_planning_cluster",
 # ----------------------------------------------------------------------------
 # W: group totals per row (windows in the oracle, aggregate + join in Spark)
 # ----------------------------------------------------------------------------
-reg("w01_volume_sign", lambda st: allocate.net_sign_flag(st.pool_spread, SIGN_GROUP, "volume_net"),
+reg("w01_volume_sign", lambda st: st.sign_table.rows,
     "o_flagged", ROW_DIMS + ["volume_net", "flag"], ["volume_net"])
 
 
-def _positive(st: Stages) -> DataFrame:
-    return st.sign_split[0]
+def _positive(st: Stages) -> list[DataFrame]:
+    return [df for df, _ in st.sign_table.positive]
 
 
 def _level_cols(st: Stages, cols: Sequence[str], names: Sequence[str]) -> DataFrame:
@@ -298,11 +301,11 @@ reg("w04_passed_up",
 
 
 reg("w05_negative_totals",
-    lambda st: allocate.with_group_totals(st.sign_split[1], ["sku", *SCOPE],
-                                          {"volume_net": "vol_sku", "cogs_manufacturing": "cm_sku"}),
+    lambda st: allocate.union_all([allocate.with_group_totals(df, ["sku", *SCOPE], {"volume_net": "vol_sku", "cogs_manufacturing": "cm_sku"}, bounded)
+                                   for df, bounded in st.sign_table.negative]),
     "(SELECT *, SUM(volume_net) OVER (PARTITION BY sku, country, period_year) AS vol_sku, "
     "SUM(cogs_manufacturing) OVER (PARTITION BY sku, country, period_year) AS cm_sku "
-    "FROM o_flagged WHERE flag = 'VOL_NEG') t", ROW_DIMS + ["volume_net", "vol_sku", "cm_sku"],
+    "FROM o_flagged WHERE flag = 'negative') t", ROW_DIMS + ["volume_net", "vol_sku", "cm_sku"],
     ["volume_net", "vol_sku", "cm_sku"])
 
 # ----------------------------------------------------------------------------
@@ -337,7 +340,7 @@ reg("c02_regex_strip",
 
 def _c03(st: Stages) -> DataFrame:
     return st.reporting_extracts.select(
-        "entity", S.grouped_label("entity", rules.ENTITY_COUNTRY).alias("country"), "account",
+        "entity", S.label("entity", rules.ENTITY_COUNTRY).alias("country"), "account",
         S.label("account", rules.ACCOUNT_MEASURE).alias("measure"), "sku", "value")
 
 
@@ -349,7 +352,7 @@ reg("c03_code_labels", _c03,
 
 # every code of every label table (and one unknown code), dealt over the ledger lines
 CODE_TABLES = {
-    "company": (rules.COMPANY_CURRENCY, S.label, O.case_map), "entity": (rules.ENTITY_COUNTRY, S.grouped_label, O.case_groups),
+    "company": (rules.COMPANY_CURRENCY, S.label, O.case_map), "entity": (rules.ENTITY_COUNTRY, S.label, O.case_groups),
     "level2": (rules.CHANNEL_BY_LEVEL2, S.label, O.case_map), "account": (rules.ACCOUNT_MEASURE, S.label, O.case_map),
     "planning_account": (rules.PLANNING_ACCOUNT_MEASURE, S.label, O.case_map),
     "planning_entity": (rules.PLANNING_ENTITY_COUNTRY, S.label, O.case_map),
@@ -414,11 +417,50 @@ reg("c15_safe_divide",
     ["fiscper", "sku", "customer", "doc_number", "gross_sales", "volume", "price"],
     ["gross_sales", "volume", "price"])
 
+# codes without a label, over the whole columns that the tables are applied to
+CODE_USES = [("company_currency", rules.COMPANY_CURRENCY, "ledger_lines", "comp_code"), ("account_measure", rules.ACCOUNT_MEASURE, "reporting_facts", "account_code"),
+             ("entity_country", rules.ENTITY_COUNTRY, "reporting_facts", "entity"), ("channel", rules.CHANNEL_BY_LEVEL2, "customer_flat", "level2"),
+             ("planning_account", rules.PLANNING_ACCOUNT_MEASURE, "planning_facts", "account"),
+             ("month", {m: str(k) for k, m in enumerate(rules.MONTH_ABBREVIATIONS, start=1)}, "fx_rates", "period")]
+reg("c03_unmapped_codes",
+    lambda st: allocate.union_all([CodeTable.of(n, labels.items()).unmapped(getattr(st.i, table), c) for n, labels, table, c in CODE_USES]),
+    "(" + " UNION ALL ".join(f"SELECT '{n}' AS code_table, CAST({c} AS VARCHAR) AS code, COUNT(*) AS n_rows FROM {table} WHERE {c} NOT IN {O.in_list(labels)} GROUP BY {c}"
+                             for n, labels, table, c in CODE_USES) + ") t", ["code_table", "code", "n_rows"])
+
+# what each dimension does to the rows that join it
+FAN_COLS = ["dimension", "fact_rows", "joined_rows", "unmatched_rows", "amount", "joined_amount"]
+FAN_OUTS = [  # name, fact, dimension, fact key, dimension key, amount, the same in SQL
+    ("product", lambda st: st.ledger_conformed, lambda st: st.product_dim, "sku", "sku", "gross_sales", "o_conf", "o_prod"),
+    ("customer", lambda st: st.ledger_product, lambda st: st.customer_dim.select("customer", *enrich.CUSTOMER_ATTRS).distinct(), "customer", "customer",
+     "gross_sales", "o_lp", "(SELECT DISTINCT customer, customer_name, channel, subchannel FROM o_cust)"),
+    ("cluster_of_entity", lambda st: st.pnl_union, lambda st: planning.cluster_lookup(st.i.country_clusters, st.p.entity), "country", "country_key", "gross_sales",
+     "o_union", f"(SELECT upper(country) AS country_key FROM country_clusters WHERE fit_entity = {O.q(P.entity)})"),
+    ("cluster", lambda st: planning.with_country(st.planning_base), lambda st: planning.cluster_lookup(st.i.country_clusters), "country", "country_key", "value_lcl",
+     f"(SELECT *, {O.case_map('entity', rules.PLANNING_ENTITY_COUNTRY)} AS country FROM o_plan_base)",
+     "(SELECT upper(country) AS country_key FROM country_clusters)"),
+    ("planning_account", lambda st: st.planning_base, lambda st: planning.account_map(st.i.planning_accounts), "account", "account_code", "value_lcl",
+     "o_plan_base", "o_plan_accounts"),
+]
+reg("j_fan_out", lambda st: allocate.union_all([guard.fan_out(fact(st), dim(st), {f: d}, amount, name) for name, fact, dim, f, d, amount, _, _ in FAN_OUTS]),
+    "(" + " UNION ALL ".join(f"""
+SELECT '{name}' AS dimension, COUNT(*) AS fact_rows, CAST(SUM(COALESCE(n, 1)) AS BIGINT) AS joined_rows, COUNT(*) - COUNT(n) AS unmatched_rows,
+       COALESCE(SUM({amount}), 0) AS amount, COALESCE(SUM({amount} * COALESCE(n, 1)), 0) AS joined_amount
+FROM {fact} a LEFT JOIN (SELECT {d} AS k, COUNT(*) AS n FROM {dim} d WHERE {d} IS NOT NULL GROUP BY {d}) c ON a.{f} = c.k"""
+                             for name, _, _, f, d, amount, fact, dim in FAN_OUTS) + ") t", FAN_COLS, ["amount", "joined_amount"])
+PROFILE_COLS = ["dimension", "dim_rows", "null_keys", "distinct_keys", "repeated_keys", "most_rows"]
+PROFILES = [(name, dim, d, sql) for name, _, dim, _, d, _, _, sql in FAN_OUTS] + [
+    ("brand", lambda st: st.i.brand_hier, "brand_segment", "brand_hier"), ("product_hierarchy", lambda st: st.i.product_hier, "sku", "product_hier")]
+reg("j_key_profile", lambda st: allocate.union_all([guard.key_profile(dim(st), [k]).select(F.lit(name).alias("dimension"), "*") for name, dim, k, _ in PROFILES]),
+    "(" + " UNION ALL ".join(f"""
+SELECT '{name}' AS dimension, CAST(COALESCE(SUM(n), 0) AS BIGINT) AS dim_rows, CAST(COALESCE(SUM(n) FILTER (WHERE k IS NULL), 0) AS BIGINT) AS null_keys,
+       COUNT(k) AS distinct_keys, COUNT(k) FILTER (WHERE n > 1) AS repeated_keys, COALESCE(MAX(n) FILTER (WHERE k IS NOT NULL), 0) AS most_rows
+FROM (SELECT {k} AS k, COUNT(*) AS n FROM {sql} d GROUP BY {k}) g""" for name, _, k, sql in PROFILES) + ") t", PROFILE_COLS)
+
 # ----------------------------------------------------------------------------
 # U: unions
 # ----------------------------------------------------------------------------
-ALLOC_COLS = ROW_DIMS + ["volume_net", "cogs_manufacturing", "cm_adjusted"]
-ALLOC_NUMS = ["volume_net", "cogs_manufacturing", "cm_adjusted"]
+ALLOC_COLS = ROW_DIMS + ["volume_net", "cogs_manufacturing", "cost_share"]
+ALLOC_NUMS = ["volume_net", "cogs_manufacturing", "cost_share"]
 reg("u02_union_branches",
     lambda st: st.positive_allocated.select(*ALLOC_COLS).unionByName(st.negative_allocated.select(*ALLOC_COLS)),
     "(SELECT " + ", ".join(ALLOC_COLS) + " FROM o_pos_alloc UNION ALL SELECT " + ", ".join(ALLOC_COLS)
@@ -447,8 +489,10 @@ reg("u08_final_union", lambda st: st.result, "o_result", rules.OUTPUT_COLUMNS, F
 # ----------------------------------------------------------------------------
 SPREAD_COLS = ROW_DIMS + M5
 reg("d01_spread_pool", lambda st: st.pool_spread, "o_spread", SPREAD_COLS, M5)
+
+
 def _d02(st: Stages) -> DataFrame:
-    positive, negative = allocate.split_by_net_sign(st.pool_spread, SIGN_GROUP, "volume_net")
+    positive, negative = (allocate.union_all([df for df, _ in parts]) for parts in (st.sign_table.positive, st.sign_table.negative))
     return (positive.select(*SPREAD_COLS, F.lit(allocate.POSITIVE).alias("flag"))
             .unionByName(negative.select(*SPREAD_COLS, F.lit(allocate.NEGATIVE).alias("flag"))))
 
@@ -456,6 +500,31 @@ def _d02(st: Stages) -> DataFrame:
 reg("d02_split_sign", _d02,
     "o_flagged", SPREAD_COLS + ["flag"], M5)
 reg("d03_cascade_allocate", lambda st: st.positive_allocated, "o_pos_alloc", ALLOC_COLS, ALLOC_NUMS)
+
+
+# levels that split, and the cost that is lost or borne twice when they do
+def _level_check_sql(levels: Sequence[str]) -> str:
+    return "(" + " UNION ALL ".join(f"""
+SELECT '{c}' AS child_level, '{p}' AS parent_level, COUNT(*) AS n_groups, COUNT(*) FILTER (WHERE parents > 1) AS split_groups,
+       SUM(cost) AS cost, COALESCE(SUM(cost) FILTER (WHERE parents > 1), 0) AS split_cost
+FROM (SELECT {c}, country, period_year, COUNT(DISTINCT {p}) + MAX(CASE WHEN {p} IS NULL THEN 1 ELSE 0 END) AS parents, SUM(cogs_manufacturing) AS cost
+      FROM o_positive GROUP BY {c}, country, period_year) g""" for c, p in zip(levels, levels[1:])) + ") t"
+
+
+CHECK_COLS = ["child_level", "parent_level", "n_groups", "split_groups", "cost", "split_cost"]
+BALANCE_COLS = [*SCOPE, "n_rows", "cost", "allocated", "unallocated_rows", "lost"]
+BALANCE_SQL = """(SELECT country, period_year, COUNT(*) AS n_rows, COALESCE(SUM(cogs_manufacturing), 0) AS cost, COALESCE(SUM(cost_share), 0) AS allocated,
+       COUNT(*) - COUNT(cost_share) AS unallocated_rows, COALESCE(SUM(cogs_manufacturing), 0) - COALESCE(SUM(cost_share), 0) AS lost
+FROM {} GROUP BY country, period_year) t"""
+for _name, _levels in (("d03_level_check", CASCADE_LEVELS), ("d03_level_check_crossed", list(O.CROSSED_LEVELS))):
+    reg(_name, lambda st, levels=_levels: level_check(allocate.union_all(_positive(st)), levels, SCOPE, "cogs_manufacturing"),
+        _level_check_sql(_levels), CHECK_COLS, ["cost", "split_cost"])
+reg("d03_cost_balance", lambda st: cost_balance(st.positive_allocated, SCOPE, "cogs_manufacturing", "cost_share"),
+    BALANCE_SQL.format("o_pos_alloc"), BALANCE_COLS, ["cost", "allocated", "lost"])
+reg("d03_cost_balance_crossed",
+    lambda st: cost_balance(allocate.cascade_allocate(allocate.union_all(_positive(st)), list(O.CROSSED_LEVELS), SCOPE, "volume_net", "cogs_manufacturing",
+                                                      "cost_share"), SCOPE, "cogs_manufacturing", "cost_share"),
+    BALANCE_SQL.format("x_pos_alloc"), BALANCE_COLS, ["cost", "allocated", "lost"])
 reg("d04_prorate_negative", lambda st: st.negative_allocated, "o_neg_alloc", ALLOC_COLS, ALLOC_NUMS)
 DELTA_COLS = ["period_year", "sku", "country", "currency_copa", "bsp", "brand", "category", "ff",
               "cogs_manufacturing", "cogs_logistic", "gross_sales", "g2n", "volume"]
@@ -471,6 +540,19 @@ reg("d08_label_accounts",
     f"{O.label_case('account', 2)} AS ACCOUNT_LVL_2, {O.label_case('account', 3)} AS ACCOUNT_LVL_3 FROM o_fx) t",
     ["sku", "customer", "period_year", "account", "ACCOUNT_LVL_1", "ACCOUNT_LVL_2", "ACCOUNT_LVL_3"])
 reg("d09_planning_net_revenue", lambda st: st.planning_net_revenue, "o_plan_net_revenue", PE_COLS, planning.VALUES)
+
+
+def _derived_sql(name: str, parts: Sequence[str]) -> str:
+    sums = ", ".join(" + ".join(f"SUM(value_{v}) FILTER (WHERE cuenta = '{p}')" for p in parts) + f" AS {v}" for v in ("lcl", "usd"))
+    return f"SELECT {', '.join(PLAN_KEYS11)}, '{name}' AS cuenta, {sums} FROM o_plan GROUP BY {', '.join(PLAN_KEYS11)}"
+
+
+reg("d09_derived_accounts",
+    lambda st: derive_long(st.planning_enriched, PLAN_KEYS11, "cuenta", planning.VALUES, job_formulas("null")),
+    f"(SELECT {', '.join(PLAN_KEYS11)}, cuenta, COALESCE(lcl, 0) AS value_lcl, COALESCE(usd, 0) AS value_usd FROM ("
+    + _derived_sql("NET_REVENUE", ["GROSS_SALES", "G2N"]) + " UNION ALL "
+    + _derived_sql("GROSS_PROFIT", ["GROSS_SALES", "G2N", "COGS_MANUFACTURING", "COGS_LOGISTIC"])
+    + ") d WHERE lcl IS NOT NULL OR usd IS NOT NULL) t", PE_COLS, planning.VALUES)
 reg("d11_full_pnl", lambda st: st.result, "o_result", rules.OUTPUT_COLUMNS, FINAL_NUMS)
 
 

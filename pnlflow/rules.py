@@ -148,6 +148,13 @@ ACCOUNT_LABELS = {
     "NET_REVENUE": ("Net Revenue", "Net Revenue", "Net Revenue"),
     "VOLUME": ("Volume", "VOLUME", "Volume"),
 }
+# derived accounts: what they are made of, in the signs of the source systems
+DERIVED_ACCOUNTS = {
+    "NET_REVENUE": ("GROSS_SALES", "G2N"),
+    "GROSS_PROFIT": ("NET_REVENUE", "COGS_MANUFACTURING", "COGS_LOGISTIC"),
+}
+# accounts that the result shows with the opposite sign
+SHOWN_NEGATED = ("G2N", "COGS_MANUFACTURING", "COGS_LOGISTIC")
 # order of the long-form measures (unpivot order)
 ACTUAL_MEASURES = ("GROSS_SALES", "G2N", "VOLUME", "COGS_LOGISTIC", "COGS_MANUFACTURING", "GROSS_PROFIT", "NET_REVENUE")
 # output schema, in order

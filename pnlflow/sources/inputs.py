@@ -66,16 +66,3 @@ def derived_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
                 raw[d] = raw_table(spark, sf_dir, d)
         views[name] = spark.sql(builder(testviews.SPARK), **{d: raw[d] for d in deps})
     return Inputs(**views)
-
-
-def write_result(df: DataFrame, target: str, as_table: bool = False) -> None:
-    """Replace the result, a catalog table or a Parquet folder, in the order and types of its
-    columns.  Rows are rebalanced by period (large periods are split, small ones share a
-    task) and sorted by it within each file, so files grow with the data, not with tasks
-    times periods, and a filter on the period skips row groups."""
-    ordered = df.hint("rebalance", "PERIOD_YEAR").sortWithinPartitions("PERIOD_YEAR")
-    writer = ordered.write.mode("overwrite").format("parquet")
-    if as_table:
-        writer.saveAsTable(target)
-    else:
-        writer.save(target)

@@ -11,6 +11,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pnlflow.sources.layout import FACT_DATES, PERIOD
+
 AMOUNT, RATE = "decimal(18,2)", "decimal(18,6)"
 
 
@@ -47,4 +49,5 @@ def conform(df: DataFrame, name: str, mapping: Mapping[str, str] | None = None)
     source = {c: (mapping or {}).get(c, c) for c in SCHEMAS[name]}
     if missing := sorted(s for s in source.values() if s not in df.columns):
         raise ValueError(f"{name}: no column {', '.join(missing)} among {', '.join(df.columns)}")
-    return df.select(*[F.col(f"`{source[c]}`").cast(kind).alias(c) for c, kind in SCHEMAS[name].items()])
+    laid_out = [PERIOD] if name in FACT_DATES and PERIOD in df.columns else []  # folders by month, for pruning
+    return df.select(*[F.col(f"`{source[c]}`").cast(kind).alias(c) for c, kind in SCHEMAS[name].items()], *laid_out)

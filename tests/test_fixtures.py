@@ -166,7 +166,7 @@ def test_g8_delta(spark):
         f"sku string, period_year string, currency_copa string, bsp string, brand string, category string, "
         f"ff string, gross_sales {DEC}")
     act = act.select("*", *[F.lit(D("0")).cast(DEC).alias(c) for c in
-                            ("cm_adjusted", "cogs_logistic", "g2n", "volume_net")])
+                            ("cost_share", "cogs_logistic", "g2n", "volume_net")])
     out = sorted((r["sku"], r["bsp"], float(r["gross_sales"])) for r in reconcile.reconcile_delta(rep, act).collect())
     assert out == [("a", "x", 20.0), ("b", None, 100.0), ("d", "x1", 20.0), ("d", "x2", 90.0)]
 

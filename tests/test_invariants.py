@@ -94,7 +94,7 @@ def test_sign_flag_with_a_hot_order_matches_window_reference(spark):
     df = spark.createDataFrame(rows, f"sales_order string, vol {DEC}, i int")
     got = {r["i"]: r["flag"] for r in allocate.net_sign_flag(df, ["sales_order"], "vol").collect()}
     w = Window.partitionBy("sales_order")
-    ref = df.withColumn("flag", F.when(F.sum("vol").over(w) >= 0, "VOL_POS").otherwise("VOL_NEG"))
+    ref = df.withColumn("flag", F.when(F.sum("vol").over(w) >= 0, "positive").otherwise("negative"))
     assert got == {r["i"]: r["flag"] for r in ref.collect()}
 
 
