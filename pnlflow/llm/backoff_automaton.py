@@ -1,29 +1,35 @@
 """LM scoring: a weighted backoff automaton.
 
-The model.  Tokens are words and one end per text.  A state is a history: the begin of a
-text, a known word, or nothing (the root).  From a word's state each word that followed it
-in training has an arc; every other token takes the failure arc to the root, at a cost,
-and an arc from there.  An unknown word's arc ends in the root.  Weights are log10 of
-
-    P(w | u) = (1 - g(u)) c(u w) / c(u) + g(u) P(w)      arcs of u
-    g(u)                                                 failure arc of u
-    P(w) = (c(w) - d) / N,  P(unknown) = d V / N         arcs of the root
+The model.  Tokens are words and one end per text.  A state is a history of up to ``order`` - 1
+tokens that was seen in training: the begin of a text, a known word, two words that
+followed each other, or nothing (the root).  A state has an arc for each token that followed its
+history in training, to the state of the longest known history that the token completes.  Every
+other token takes the failure arc to the state of the history without its first token, at a cost, and
+looks there.  The root has an arc for every token; an unknown word's ends in the root.  Weights are
+log10 of
+
+    P(w | h) = (1 - g(h)) c(h w) / c(h) + g(h) P(w | h')     arcs of h, h' being h without its first token
+    g(h)                                                     failure arc of h
+    P(w) = (c(w) - d) / N,  P(unknown) = d V / N             arcs of the root
 
 with d by count of counts, d = n1 / (n1 + 2 n2), and g falling with the history's count,
-g(u) = d T c(u)^-theta / sum of c^(1-theta): T is the number of distinct bigrams, so that
-on the whole as much is discounted as new successors were seen.  Over the known words and
-one unknown, all states' weights sum to 1.
+g(h) = d T c(h)^-theta / sum of c^(1-theta) over the histories of its length: T is the number of distinct
+n-grams one longer, so that on the whole as much is discounted as new successors were seen.  Over
+the known tokens and one unknown, the weights of what can be read in any state sum to 1.
 
 The work.  Texts are cut into blocks, stored in the shared checkpoint folder.  A block
-sends each distinct word and bigram of its own once, with its training count, to the hash
+sends each distinct n-gram of its own once, with its training count, to the hash
 range that owns it; an owner adds up the blocks' counts and returns the totals in the
 order they were asked in.  So no word is hot, the counts cover all training text, and a
-block gets exactly the part of the automaton that its texts walk through.  One pass from
-left to right over a block's tokens carries the state and adds up the weights.
+block builds exactly the part of the automaton that its texts walk through.  Then each text is read from
+left to right once: the state is carried from token to token, failure arcs are followed until there is an
+arc, and the weights are added up.  Texts are read side by side; a long text is read in lanes, each
+starting ``order`` - 1 tokens early, which is all that a state remembers.
 
-Words and bigrams are known by 64-bit hashes.  Defined results: null and empty texts are
+N-grams are known by 64-bit hashes.  Defined results: null and empty texts are
 the end alone.  Without training text every score is 0 (one unknown type has all the
-mass).  A null id counts as crc32 0.  Rows that repeat count as often as they occur.
+mass).  A null id counts as crc32 0.  Rows that repeat count as often as they occur.  A text of any length is
+one row of a block; memory grows with its tokens.
 """
 
 from __future__ import annotations
@@ -54,11 +60,11 @@ class Model:
 
     tokens: int  # N, ends included
     types: int  # V
-    bigrams: int  # T
     once: int
     twice: int
     texts: int
-    spread: float  # sum of c(u)^(1-theta) over histories
+    grams: tuple[int, ...]  # distinct n-grams of 2, 3, ... tokens
+    spread: tuple[float, ...]  # sum of c^(1-theta) over histories of 1, 2, ... tokens
 
     @property
     def d(self) -> float:
@@ -70,11 +76,9 @@ class Model:
             return np.ones(len(c))
         return np.where(c > 0, c - self.d, self.d * self.types) / self.tokens
 
-    def failure(self, c: np.ndarray) -> np.ndarray:
-        """g(u), from the history's count; 1 for the root."""
-        if not self.tokens:
-            return np.ones(len(c))
-        return np.where(c > 0, np.clip(self.d * self.bigrams / self.spread * np.maximum(c, 1.0) ** -THETA, 0.01, 0.99), 1.0)
+    def failure(self, c: np.ndarray, length: int) -> np.ndarray:
+        """g(h), from the count of a seen history of ``length`` tokens."""
+        return np.clip(self.d * self.grams[length - 1] / self.spread[length - 1] * np.maximum(c, 1.0) ** -THETA, 0.01, 0.99)
 
     def base(self, c: np.ndarray) -> np.ndarray:
         return np.log10((c + 0.5) / (self.tokens + 0.5 * (self.types + 1)))
@@ -104,31 +108,34 @@ class Block:
     trains: np.ndarray
 
     def sequences(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Token and history hashes of all documents, ends included, and each token's document."""
+        """Token hashes of all documents, ends included, each token's document and its place in it."""
         size = self.count + 1
         doc = np.repeat(np.arange(len(size)), size)
-        end = np.cumsum(size) - 1
+        end = np.cumsum(size)
         token = np.empty(len(doc), U)
         word = np.ones(len(doc), bool)
-        word[end] = False
+        word[end - 1] = False
         token[word] = self.hashes[self.number]
-        token[end] = END
-        history = np.empty(len(doc), U)
-        history[1:] = token[:-1]
-        history[end - size + 1] = BEGIN
-        return token, history, doc
-
-    def asked(self) -> tuple[list[tuple[np.ndarray, np.ndarray]], tuple[np.ndarray, ...]]:
-        """Distinct words (ends with them) and bigrams, sorted, with their training counts; and for
-        each token which word and which bigram it is, and its history's hash and document."""
-        token, history, doc = self.sequences()
+        token[end - 1] = END
+        return token, doc, np.arange(len(doc)) - (end - size)[doc]
+
+    def asked(self, order: int) -> tuple[list[tuple[np.ndarray, np.ndarray]], list[np.ndarray], np.ndarray, np.ndarray]:
+        """For each length the distinct n-grams, sorted, with their training counts; for each token which
+        n-gram of each length it ends (-1: its text has too few before it); documents and places."""
+        token, doc, place = self.sequences()
         learn = self.trains[doc].astype(np.int64)
-        out, where = [], []
-        for keys in (token, pair_hash(history, token)):
-            known, inverse = np.unique(keys, return_inverse=True)
-            out.append((known, np.bincount(inverse, weights=learn, minlength=len(known)).astype(np.uint32)))
-            where.append(inverse)
-        return out, (*where, history, doc)
+        out, where, key = [], [], token
+        for length in range(1, order + 1):
+            if length > 1:  # the n-gram of the token before, and the token; a text's first token follows its begin
+                before = np.concatenate((np.zeros(1, U), key[:-1]))
+                key = pair_hash(np.where(place == 0, BEGIN, before), token)
+            has = place >= length - 2
+            known, inverse = np.unique(key[has], return_inverse=True)
+            out.append((known, np.bincount(inverse, weights=learn[has], minlength=len(known)).astype(np.uint32)))
+            ends = np.full(len(token), -1, np.int64)
+            ends[has] = inverse
+            where.append(ends)
+        return out, where, doc, place
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,16 +170,12 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield {c: batch.column(c)[k].as_py() for c in batch.schema.names}
 
 
-KINDS = ("words", "bigrams")
-
-
-def _ask(buckets: int):
+def _ask(buckets: int, order: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = starts(buckets)
         for row in _rows(batches):
-            (words, bigrams), _ = _open(row).asked()
             rows = []
-            for kind, (known, count) in enumerate((words, bigrams)):
+            for kind, (known, count) in enumerate(_open(row).asked(order)[0]):
                 edge = [*np.searchsorted(known, first).tolist(), len(known)]
                 rows += [(row["block"], kind, b, pack_rising(known[x:y]), pack(count[x:y]))
                          for b, (x, y) in enumerate(zip(edge, edge[1:])) if x < y]
@@ -213,23 +216,112 @@ def narrow(a: np.ndarray) -> np.ndarray:
     return a.astype(np.uint32) if len(a) and a.max() < 1 << 32 else a
 
 
-def _walk(model: Model):
+# ---- the automaton ---------------------------------------------------------------------
+
+@dataclass
+class Automaton:
+    """State 0 is the root, state 1 the begin of a text.  Arcs are sorted by state * tokens + token."""
+
+    tokens: int
+    arc: np.ndarray
+    weight: np.ndarray
+    target: np.ndarray
+    fail: np.ndarray  # of each state
+    cost: np.ndarray
+
+    def read(self, state: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The next state of each of some readers, and the weight of the way there."""
+        state, total, todo = state.copy(), np.zeros(len(state)), np.arange(len(state))
+        while len(todo):
+            want = state[todo] * self.tokens + token[todo]
+            at = np.minimum(np.searchsorted(self.arc, want), len(self.arc) - 1)
+            hit = self.arc[at] == want
+            there, back = todo[hit], todo[~hit]
+            total[there] += self.weight[at[hit]]
+            state[there] = self.target[at[hit]]
+            total[back] += self.cost[state[back]]
+            state[back] = self.fail[state[back]]
+            todo = back
+        return state, total
+
+
+def automaton(model: Model, counts: list[np.ndarray], where: list[np.ndarray], place: np.ndarray) -> Automaton:
+    """The part that a block walks through.  counts: of each distinct n-gram of each length, in all training
+    text; where, place: as ``Block.asked`` gives them."""
+    order, n_tokens = len(counts), len(counts[0])
+    # the states of the histories of each length: those n-grams that were seen
+    first, state = 2, []
+    for c in counts[:order - 1]:
+        seen = c > 0
+        state.append(np.where(seen, first + np.cumsum(seen) - 1, 0))
+        first += int(seen.sum())
+    fail, cost = np.zeros(first, np.int64), np.zeros(first)
+    p = model.root(counts[0])  # of each n-gram: its last token after the rest of it
+    target = state[0] if state else np.zeros(n_tokens, np.int64)
+    arcs, weights, targets = [np.arange(n_tokens)], [np.log10(p)], [target]
+    cost[1] = np.log10(model.failure(np.array([model.texts]), 1)[0]) if order > 1 and model.texts else 0.0
+    for length in range(2, order + 1):
+        c, ends = counts[length - 1], where[length - 1]
+        at = np.full(len(c), -1, np.int64)
+        found = np.flatnonzero(ends >= 0)
+        at[ends[found]] = found  # a token that ends the n-gram
+        token, lower = where[0][at], where[length - 2][at]
+        begins = place[at] == 0  # after the begin of a text (two tokens: the begin and a word)
+        history = np.where(begins, -1, where[length - 2][at - 1])
+        from_state = np.where(begins, 1, state[length - 2][history])
+        c_history = np.where(begins, model.texts, counts[length - 2][history])
+        seen = c > 0
+        g = model.failure(c_history[seen], length - 1)
+        q = np.zeros(len(c))
+        q[seen] = (1 - g) * c[seen] / c_history[seen] + g * p[lower[seen]]
+        if length < order:  # the n-gram is a history itself
+            own = state[length - 1][seen]
+            fail[own], cost[own] = state[length - 2][lower[seen]], 0.0
+        arcs.append(from_state[seen] * n_tokens + token[seen])
+        weights.append(np.log10(q[seen]))
+        targets.append((state[length - 1] if length < order else state[length - 2][lower])[seen])
+        p = q
+    for length, c in enumerate(counts[:order - 1], start=1):
+        seen = c > 0
+        cost[state[length - 1][seen]] = np.log10(model.failure(c[seen], length))
+    arc, weight, target = (np.concatenate(x) for x in (arcs, weights, targets))
+    by = np.argsort(arc, kind="stable")
+    return Automaton(n_tokens, arc[by], weight[by], target[by], fail, cost)
+
+
+#: Tokens that one lane of a traversal reads.
+LANE = 512
+
+
+def traverse(net: Automaton, token: np.ndarray, place: np.ndarray, order: int, lane: int = LANE) -> np.ndarray:
+    """The weight of every token, read from left to right.  All texts are read side by side, long ones in
+    lanes: a state depends on the ``order`` - 1 tokens before it only, so a lane begins as many early."""
+    start = np.flatnonzero(place % lane == 0)
+    stop = np.append(start[1:], len(token))
+    begin = start - np.minimum(place[start], order - 1)
+    state = np.where(place[begin] == 0, 1, 0)
+    longest = np.argsort(begin - stop, kind="stable")
+    begin, start, stop, state = begin[longest], start[longest], stop[longest], state[longest]
+    length, out = stop - begin, np.zeros(len(token))
+    for step in range(int(length[0]) if len(length) else 0):
+        n = int(np.searchsorted(-length, -step, side="left"))  # lanes that are longer than this
+        at = begin[:n] + step
+        state[:n], weight = net.read(state[:n], token[at])
+        own = at >= start[:n]
+        out[at[own]] = weight[own]
+    return out
+
+
+def _walk(model: Model, order: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             block = _open(row)
-            ((words, _), _), (word, bigram, history, doc) = block.asked()
+            _, where, doc, place = block.asked(order)
             answers = sorted(row["answers"] or [], key=lambda a: (a["kind"], a["bucket"]))
-            of_word, of_bigram = (np.concatenate([np.zeros(0, np.int64), *(unpack(a["totals"], np.uint32).astype(np.int64) for a in answers if a["kind"] == k)])
-                                  for k in range(2))
-            c = of_word[word]  # of each token
-            # the state before each token: the begin, the word before if it is known, else the root
-            state = np.zeros(len(c), np.int64)
-            state[1:] = c[:-1]
-            state[history == BEGIN] = model.texts
-            p, g = model.root(c), model.failure(state)
-            # an arc of the state, or its failure arc and then the root's
-            weight = np.log10(np.where(of_bigram[bigram] > 0, (1 - g) * of_bigram[bigram] / np.maximum(state, 1) + g * p, g * p))
-            n = len(block.count)
+            counts = [np.concatenate([np.zeros(0, np.int64), *(unpack(a["totals"], np.uint32).astype(np.int64) for a in answers if a["kind"] == k)])
+                      for k in range(order)]
+            weight = traverse(automaton(model, counts, where, place), where[0], place, order)
+            c, n = counts[0][where[0]], len(block.count)
             add = lambda x: np.bincount(doc, weights=x, minlength=n)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(row["doc_ids"], pa.int64()), pa.array(block.trains == 0), pa.array(block.count + 1), pa.array(add(c > 0).astype(np.int64)),
@@ -238,18 +330,20 @@ def _walk(model: Model):
     return run
 
 
-def score(docs: DataFrame, learn: Column) -> DataFrame:
+def score(docs: DataFrame, learn: Column, order: int = 3) -> DataFrame:
     """Learn from the rows where ``learn`` holds and score all: doc_id, held_out, n_tokens, n_known,
-    train_tokens, base_score (smoothed unigrams) and score (the automaton), both log10."""
+    train_tokens, base_score (smoothed unigrams) and score (the automaton), both log10.  ``order``: the
+    longest n-gram, at least two tokens."""
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), learn.alias("trains"))
                     .mapInArrow(_blocks, BLOCK), "blocks")
-    asked = blocks.mapInArrow(_ask(buckets), "block long, kind int, bucket int, keys binary, counts binary")
+    asked = blocks.mapInArrow(_ask(buckets, order), "block long, kind int, bucket int, keys binary, counts binary")
     answers = stored(asked.repartition(buckets, "bucket", "kind").sortWithinPartitions("bucket", "kind")
                      .mapInArrow(_answer, "block long, kind int, bucket int, totals binary, about array<double>"), "answers")
     sums = {r[0]: r[1:] for r in answers.where("block is null").groupBy("kind").agg(*(F.sum(F.col("about")[k]) for k in range(6))).collect()}
-    (n, v, once, twice, ends, spread), (_, t, *_) = (sums.get(k, (0.0,) * 6) for k in range(2))
-    model = Model(int(n), int(v), int(t), int(once), int(twice), int(ends), max(spread, 1.0))
+    (n, v, once, twice, ends, _), *longer = (sums.get(k, (0.0,) * 6) for k in range(order))
+    model = Model(int(n), int(v), int(once), int(twice), int(ends), tuple(int(x[1]) for x in longer),
+                  tuple(max(sums.get(k, (0.0,) * 6)[5], 1.0) for k in range(order - 1)))
     mine = answers.where("block is not null").groupBy("block").agg(F.collect_list(F.struct("kind", "bucket", "totals")).alias("answers"))  # bounded by a block
     return blocks.join(mine, "block", "left").drop("block").mapInArrow(
-        _walk(model), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+        _walk(model, order), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -62,9 +62,6 @@ class Vocabulary:
             self.rank[vocab[left]].setdefault(vocab[right], rank)
             self.made.append(vocab[left + right])
         self.rank = [self.rank.get(x, {}).get for x in range(1 + max(vocab.values()))]
-        to_byte = {c: b for b, c in enumerate(letters)}
-        self.spelled = {i: bytes(to_byte[c] for c in token) if all(c in to_byte for c in token) else token.encode()
-                        for token, i in (*vocab.items(), *((t["content"], t["id"]) for t in file["added_tokens"]))}
 
     def merge(self, word: bytes) -> list[int]:
         """The ids of one pre-token."""
@@ -91,18 +88,28 @@ class Vocabulary:
                 heappush(queue, r * n + h)
         return [x for x in symbols if x >= 0]
 
-    def decode(self, ids: Sequence[int]) -> bytes:
-        return b"".join(map(self.spelled.__getitem__, ids))
+
+def spellings(path: str) -> dict[int, bytes]:
+    """The bytes that each id of a byte-level file stands for."""
+    with open(path, encoding="utf-8") as f:
+        file = json.load(f)
+    to_byte = {c: b for b, c in enumerate(byte_letters())}
+    named = [*file["model"]["vocab"].items(), *((t["content"], t["id"]) for t in file["added_tokens"])]
+    return {i: bytes(to_byte[c] for c in token) if all(c in to_byte for c in token) else token.encode() for token, i in named}
+
+
+def decode_ids(spelled: dict[int, bytes], ids: Sequence[int]) -> bytes:
+    return b"".join(map(spelled.__getitem__, ids))
 
 
 class QueueCodec:
     """A worker's encoder: each distinct pre-token is merged once per memory."""
 
     def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.vocabulary = Vocabulary(path)
-        self._split = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
+        self._split = ByteLevel(add_prefix_space=False).pre_tokenize_str
         self._letters = {c: b for b, c in enumerate(byte_letters())}
         self.memory = PieceMemory(byte_level_words, self._merged)
         added = sorted(self.vocabulary.added, key=len, reverse=True)
@@ -181,12 +188,12 @@ def encode(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",)) -> D
 def decode(coded: DataFrame, path: str) -> DataFrame:
     """All columns of ``coded`` and text: what its ids spell; bytes that are no UTF-8 become U+FFFD."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spell = Vocabulary(path).decode
+        spelled = spellings(path)
         for batch in slices(batches, "ids"):
             out = []
             for raw in batch.column("ids").to_pylist():
                 ids = np.frombuffer(raw or b"", "<u4")
-                out.append(b"".join(spell(ids[k:k + STEP].tolist()) for k in range(0, len(ids), STEP)).decode("utf-8", "replace"))
+                out.append(b"".join(decode_ids(spelled, ids[k:k + STEP].tolist()) for k in range(0, len(ids), STEP)).decode("utf-8", "replace"))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], names=[*batch.schema.names, "text"])
 
     return coded.mapInArrow(run, coded.withColumn("text", F.lit("")).schema)

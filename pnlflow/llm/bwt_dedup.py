@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pnlflow.llm.common import opened, press, slices, spread, stored, utf8
+from pnlflow.llm.common import SLICE_BYTES, opened, press, slices, spread, stored, utf8
 
 U = np.uint64
 _MUL = 0xD6E8FEB86659FD93
@@ -56,6 +56,7 @@ class Settings:
     shards: int = 4  # transforms merged at a time
     chunk: int = 96 << 10  # bytes of text merged at a time, if no group is larger
     crowd: int = 4096  # distinct texts in a group before it is split
+    crowd_bytes: int = 4 << 20  # or bytes of them
     run: int = 4096  # starts in a stretch at most (periodic text has long runs)
 
 
@@ -271,7 +272,7 @@ def _cut(s: Settings):
     """The texts of the wanted stretches of each document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for one in slices([batch], most=1 << 20):
+            for one in slices([batch], most=SLICE_BYTES, pressed=True):
                 rows, cols = [], one.to_pydict()
                 for z, want in zip(cols["text"], cols["want"]):
                     b = opened(z)
@@ -369,7 +370,7 @@ def covered(spans: list[tuple[int, int]], n: int, length: int) -> list[tuple[int
 def _remove(s: Settings, with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for one in slices([batch], most=1 << 20):
+            for one in slices([batch], most=SLICE_BYTES, pressed=True):
                 out = [[] for _ in range(5 + 2 * with_text)]
                 for z, spans in zip(one.column("text").to_pylist(), one.column("spans").to_pylist()):
                     b = opened(z)
@@ -416,8 +417,13 @@ def repeated_strings(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     texts = (packed.join(wanted, "key").dropDuplicates(["key"]).mapInArrow(_cut(s), "seed long, hash long, copies long, bytes binary")
              .select("seed", F.lit(0).cast("long").alias("part"), "hash", "copies", "bytes"))
 
-    crowd = lambda t: stored(t.groupBy("seed", "part").agg(F.count("*").alias("rows")).where(F.col("rows") > s.crowd).select("seed", "part"), "crowd")
-    crowded, leaves, pieces = crowd(distinct.select("seed", F.lit(0).cast("long").alias("part"))), [], []
+    def crowd(t: DataFrame) -> DataFrame:
+        """Groups of too many texts, or of too many bytes, for one merge."""
+        sums = t.groupBy("seed", "part").agg(F.count("*").alias("rows"), F.sum("size").alias("size"))
+        return stored(sums.where((F.col("rows") > s.crowd) | (F.col("size") > s.crowd_bytes)).select("seed", "part"), "crowd")
+
+    size = (F.col("at.n") + (s.length - 1)).cast("long").alias("size")
+    crowded, leaves, pieces = crowd(distinct.select("seed", F.lit(0).cast("long").alias("part"), size)), [], []
     for reach in (16, 1):
         if crowded.isEmpty():
             break
@@ -426,7 +432,7 @@ def repeated_strings(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
         pieces.append(stored(texts.join(crowded, ["seed", "part"], "left_semi").select(*texts.columns).mapInArrow(
             _narrow(reach, s), "seed long, from_part long, from_hash long, offset long, copies long, part long, hash long, bytes binary"), "pieces"))
         texts = stored(pieces[-1].groupBy("seed", "part", "hash").agg(F.sum("copies").alias("copies"), F.min("bytes").alias("bytes")), "texts")
-        crowded = crowd(texts)
+        crowded = crowd(texts.withColumn("size", F.octet_length("bytes").cast("long")))
     work = texts.withColumn("level", F.lit(len(pieces)))
     for level, leaf in enumerate(leaves):
         work = work.unionByName(leaf.withColumn("level", F.lit(level)))

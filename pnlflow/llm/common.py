@@ -61,10 +61,14 @@ def remainder_of_id(key: str, n: int) -> Column:
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(0)) % n
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batches cut into row ranges of at most ``most`` bytes of ``column`` (one row at least)."""
+def slices(batches: Iterable[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES, pressed: bool = False) -> Iterator[pa.RecordBatch]:
+    """The batches cut into row ranges of at most ``most`` bytes of ``column`` (one row at least);
+    ``pressed``: of what its values open to, as their frames say."""
     for batch in batches:
-        size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        if pressed:
+            size = np.fromiter((zstandard.frame_content_size(z) if z else 0 for z in batch.column(column).to_pylist()), np.int64, batch.num_rows)
+        else:
+            size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         end, start, n = np.cumsum(size), 0, batch.num_rows
         while start < n:
             before = end[start - 1] if start else 0

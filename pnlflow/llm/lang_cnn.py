@@ -158,15 +158,16 @@ def _sample(shape: Shape):
 def fit(docs: DataFrame, shape: Shape = Shape(), learn: Column | None = None) -> Network | None:
     """Train on rows where ``learn`` holds and text and lang are not null.
 
-    The sample is bounded: of each language the ``docs_per_lang`` rows of the smallest id
-    hash, found by a threshold that follows from the language's count, not by a sort."""
+    The sample is bounded: of each language the ``docs_per_lang`` rows of the smallest hash of id,
+    text and row number, found by a threshold that follows from the language's count, not by a
+    sort.  Rows without ids, of one id or of one text are drawn like all others."""
     from functools import reduce
 
-    rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.lit(True) if learn is None else learn))
+    rows = docs.withColumn("__row", F.monotonically_increasing_id()).where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.lit(True) if learn is None else learn))
     counts = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}  # one row for each language
     if not counts:
         return None
-    rank = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(shape.seed)), F.lit(1 << 30))
+    rank = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), "text", "__row", F.lit(shape.seed)), F.lit(1 << 30))
     most = lambda c: int((1 << 30) * min(1.0, (shape.docs_per_lang + 4 * shape.docs_per_lang ** 0.5) / c))
     keep = reduce(lambda a, b: a | b, ((F.col("lang") == x) & (F.col("rank") < most(c)) for x, c in counts.items()))
     got = (rows.select("lang", rank.alias("rank"), "text").where(keep)

@@ -18,8 +18,9 @@ else.  A crowded cell, of copies say, is many tiles.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components take
 no part, nor do those whose dimension is not the commonest one (ties: the larger) or
-whose id is null.  Rows that share a query's id count as its own row.  Ties go to the
-smaller id.  Fewer candidates than asked for: all of them.  No vectors: an empty result.
+whose id is null.  Rows that share a query's id count as its own row, rows that share another
+id as one candidate, with the nearest of their vectors.  Components may be as large or small as
+doubles are.  Ties go to the smaller id.  Fewer candidates than asked for: all of them.  No vectors: an empty result.
 """
 
 from __future__ import annotations
@@ -96,12 +97,20 @@ def walk(left: np.ndarray, right: np.ndarray, size: np.ndarray, want: float) ->
     return out
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Each row times a power of two that brings its largest component near one: exact, and squares
+    neither overflow nor vanish."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, initial=0))[1][:, None])
+
+
 def unit(x: np.ndarray) -> np.ndarray:
+    x = scaled(x)
     return x / np.sqrt((x * x).sum(axis=1))[:, None]
 
 
 def cosines(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Row by row; the same two vectors give the same number anywhere."""
+    q, x = scaled(q), scaled(x)
     return (q * x).sum(axis=1) / (np.sqrt((q * q).sum(axis=1)) * np.sqrt((x * x).sum(axis=1)))
 
 
@@ -167,6 +176,13 @@ def _probe(index: Index, size: np.ndarray, s: Settings):
     return run
 
 
+def repeated(ids: np.ndarray) -> list[np.ndarray]:
+    """The places of each id that occurs twice or more."""
+    order = np.argsort(ids, kind="stable")
+    edge = np.flatnonzero(np.diff(ids[order], prepend=ids[order[:1]] - 1, append=ids[order[-1:]] + 1)) if len(ids) else np.zeros(0, np.int64)
+    return [order[a:b] for a, b in zip(edge.tolist(), edge[1:].tolist()) if b - a > 1]
+
+
 class _Best:
     """The best few of each query so far."""
 
@@ -182,6 +198,11 @@ class _Best:
 
     def cut(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         q, ids, score = (np.concatenate(c) for c in zip(*self.rows)) if self.rows else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        order = np.lexsort((-score, ids, q))  # an id counts once, by its nearest vector
+        q, ids, score = q[order], ids[order], score[order]
+        once = np.ones(len(q), bool)
+        once[1:] = (q[1:] != q[:-1]) | (ids[1:] != ids[:-1])
+        q, ids, score = q[once], ids[once], score[once]
         order = np.lexsort((ids, -score, q))
         q, ids, score = q[order], ids[order], score[order]
         first = np.searchsorted(q, q, side="left")
@@ -202,7 +223,14 @@ def _rank(top: int):
                 xv = _matrix(rows.field("vec"))
                 seen = np.unpackbits(np.frombuffer(visits, np.uint8).reshape(len(queries), -1), axis=1).astype(bool)[:, b]
                 score = np.where(seen & (queries[:, None] != ids), unit(qv) @ unit(xv).T, -9.0)
-                edge = np.partition(score, -top, axis=1)[:, -top] if score.shape[1] > top else np.full(len(score), -8.0)
+                thin = score
+                if groups := repeated(ids):  # rows of one id count once: the nearest of them
+                    thin = score.copy()
+                    for same in groups:
+                        near = score[:, same] >= score[:, same].max(axis=1, keepdims=True) - 1e-9
+                        score[:, same] = np.where(near, score[:, same], -9.0)
+                        thin[:, same] = np.where(near & (np.cumsum(near, axis=1) == 1), score[:, same], -9.0)
+                edge = np.partition(thin, -top, axis=1)[:, -top] if thin.shape[1] > top else np.full(len(thin), -8.0)
                 q, x = np.nonzero(score >= np.maximum(edge - 1e-9, -8.0)[:, None])  # and what rounding may hide
                 for j in range(0, len(q), 1 << 16):
                     i, y = q[j:j + (1 << 16)], x[j:j + (1 << 16)]
@@ -236,10 +264,12 @@ def neighbours(vectors: DataFrame, id_column: str, vector_column: str, asks: Col
         size[r.a, r.b] = r["count"]
     crowd = {a: int(-(-c // s.tile)) for a, c in enumerate(size.sum(axis=1).tolist())}
     parts = F.element_at(F.array(*(F.lit(max(1, crowd[a])) for a in range(len(index.left)))), F.col("a") + 1)
-    tiles = (placed.groupBy("a", F.pmod(F.xxhash64("id", "vec"), parts).alias("part"))  # copies of a vector have ids of their own
+    tiles = (placed.groupBy("a", F.pmod(F.xxhash64("id", "vec"), parts).cast("int").alias("part"))  # copies of a vector have ids of their own
              .agg(F.collect_list(F.struct("id", "vec", "b")).alias("rows")))
     probes = placed.where("asks").select("id", "vec").mapInArrow(_probe(index, size, s), "a int, queries binary, query_vecs binary, visits binary")
-    found = (tiles.join(probes, "a").select("rows", "queries", "query_vecs", "visits")
-             .mapInArrow(_rank(top), "query_id long, vec_id long, score double"))
+    # every tile of a centroid is a key of its own, so no centroid is one task
+    found = (tiles.join(probes.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))), ["a", "part"]).select("rows", "queries", "query_vecs", "visits")
+             .mapInArrow(_rank(top), "query_id long, vec_id long, score double")
+             .groupBy("query_id", "vec_id").agg(F.max("score").alias("score")))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score"))

@@ -13,8 +13,8 @@ import numpy as np
 
 from pnlflow.llm.common import SLICE_BYTES
 
-#: Pieces and characters of pieces that a worker remembers (some 200 MB); beyond, its memory starts anew.
-REMEMBERED, REMEMBERED_CHARS = 1_000_000, 32 << 20
+#: Pieces and characters of pieces that a worker remembers (some 100 MB); beyond, its memory starts anew.
+REMEMBERED, REMEMBERED_CHARS = 500_000, 32 << 20
 
 #: Letters that every Unicode version knows as such, composed and with a single lower case.
 LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ſȘ-ț"
@@ -73,8 +73,8 @@ class _Numbers(dict):
 class PieceMemory:
     """``cut`` divides a text into pieces; ``learn`` gives the ids of new pieces, one list for each."""
 
-    def __init__(self, cut: Callable[[str], list[str]], learn: Callable[[list[str]], list[Sequence[int]]]) -> None:
-        self.cut, self.learn = cut, learn
+    def __init__(self, cut: Callable[[str], list[str]], learn: Callable[[list[str]], list[Sequence[int]]], most: int = REMEMBERED) -> None:
+        self.cut, self.learn, self.most = cut, learn, most
         self._forget()
 
     def _forget(self) -> None:
@@ -92,7 +92,7 @@ class PieceMemory:
 
     def encode(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of all texts, and how many each text has."""
-        if len(self.known) > REMEMBERED or self.chars > REMEMBERED_CHARS:
+        if len(self.known) > self.most or self.chars > REMEMBERED_CHARS:
             self._forget()
         get = self.known.__getitem__
         parts = [np.fromiter(map(get, p), np.int64, len(p)) for p in map(self.cut, texts)]

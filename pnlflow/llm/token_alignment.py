@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pnlflow.llm.bpe_queue import Vocabulary
+from pnlflow.llm.bpe_queue import spellings
 from pnlflow.llm.common import slices, spread, stored, sums
 from pnlflow.llm.packed import by_count, pack, pack_strings, unpack, unpack_strings
 from pnlflow.llm.pieces import LETTERS, PieceMemory, simple, windows
@@ -44,6 +44,8 @@ from pnlflow.llm.word_codec import WordCodec
 
 #: The space in a sentencepiece model's pieces.
 SPACE = "\u2581"
+#: Words that a worker remembers of each tokenizer.
+REMEMBERED = 300_000
 #: Bytes of text in a block: the larger, the fewer times a pair travels.
 BLOCK_BYTES = 16 << 20
 #: Characters of text that one merge works on, and steps of a piece of it.
@@ -117,7 +119,7 @@ class Pieces:
                         raise ValueError(f"a token crosses words: {name!r} of {path}")
         self.spelled = [bytes([int(name[3:5], 16)]) if self.model.is_byte(i) else name.replace(SPACE, " ").encode() for i, name in enumerate(names)]
         self.first = {c: len(self.model.encode(c)) for c in "a,"}
-        self.memory = PieceMemory(self.cut, self._learn)
+        self.memory = PieceMemory(self.cut, self._learn, REMEMBERED)
 
     def cut(self, text: str) -> list[str]:
         if simple(text):
@@ -142,8 +144,8 @@ class Pair:
     """A worker's two tokenizers and what depends on them alone."""
 
     def __init__(self, a: str, b: str) -> None:
-        self.a, self.b = WordCodec(a, True, plain_added=True), Pieces(b)
-        spelled = Vocabulary(a).spelled
+        self.a, self.b = WordCodec(a, True, plain_added=True, most=REMEMBERED), Pieces(b)
+        spelled = spellings(a)
         self.size_a = np.array([len(spelled.get(i, b"")) for i in range(max(spelled) + 1)])
         self.size_b = np.array([len(x) for x in self.b.spelled])
         digits = [str(i).encode() for i in range(max(len(self.size_a), len(self.size_b)))]

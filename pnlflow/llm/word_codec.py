@@ -17,6 +17,8 @@ from pnlflow.llm.pieces import PieceMemory, byte_level_words, spaceless_words, w
 
 #: Pieces that PieceCodec remembers (about 100 MB); beyond, its memory starts anew.
 REMEMBERED = 500_000
+#: Words that WordCodec remembers (about 170 MB).
+WORDS = 800_000
 #: A word of its own in any text, put between pieces that are encoded in one call.
 MARK, JOINED = "\x01", 64
 
@@ -106,7 +108,7 @@ class WordCodec:
     """A vocabulary file of the tokenizers library.  Added tokens found in a text are tokens of their own,
     as the library has it, or ordinary text (``plain_added``)."""
 
-    def __init__(self, path: str, keeps_space: bool, plain_added: bool = False) -> None:
+    def __init__(self, path: str, keeps_space: bool, plain_added: bool = False, most: int = WORDS) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -114,7 +116,7 @@ class WordCodec:
         if plain_added:
             self.tokenizer.encode_special_tokens = True
         self.keeps_space = keeps_space
-        self.memory = PieceMemory(byte_level_words if keeps_space else spaceless_words, self._apart if keeps_space else self._marked)
+        self.memory = PieceMemory(byte_level_words if keeps_space else spaceless_words, self._apart if keeps_space else self._marked, most)
         added = [] if plain_added else [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(added)) if added else None
         mark = self._ids([MARK])[0]

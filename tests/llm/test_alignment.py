@@ -44,10 +44,10 @@ def test_queue_of_one_word_skips_stale_entries(library):
 
 
 def test_decode_of_any_ids(library):
-    vocabulary, rng = bpe_queue.Vocabulary(A), random.Random(6)
+    spelled, rng = bpe_queue.spellings(A), random.Random(6)
     for _ in range(300):
         ids = [rng.randrange(50257) for _ in range(rng.randint(0, 30))]
-        assert vocabulary.decode(ids).decode("utf-8", "replace") == library.decode(ids, skip_special_tokens=False)
+        assert bpe_queue.decode_ids(spelled, ids).decode("utf-8", "replace") == library.decode(ids, skip_special_tokens=False)
 
 
 def test_windows_and_words_keep_every_character():

@@ -1,5 +1,6 @@
 """Operators that judge row by row: compression bands and language ID."""
 
+import random
 import re
 from collections import Counter
 
@@ -114,3 +115,54 @@ def test_windows_cover_whole_texts():
     seen = {tuple(c[k:k + 5]) for c in codes[owner == 2] for k in range(12)}
     body = lang_cnn.CLASSES[data[5:]]
     assert all(tuple(body[k:k + 5]) in seen for k in range(len(body) - 4))
+
+
+def test_network_forward_pass_and_gradient():
+    """Probabilities against a plain loop over windows, filters and positions; training lowers the loss."""
+    rng = np.random.default_rng(0)
+    shape = lang_cnn.Shape(window=24, dim=3, widths=(2, 3), filters=2, epochs=1, batch=4)
+    codes = rng.integers(0, lang_cnn.N_CLASSES, (9, shape.window)).astype(np.uint8)
+    answers = rng.integers(0, 2, 9)
+    net = lang_cnn.train(codes, answers, ["a", "b"], shape)
+
+    def plain(net, row):
+        x, pooled = net.embed[row], []
+        for f in range(net.conv.shape[1]):
+            reach = max(shape.widths)
+            pooled.append(max(float(x[t:t + reach].ravel() @ net.conv[:, f]) for t in range(shape.window - reach + 1)))
+        hidden = np.maximum(np.array(pooled) + net.bias, 0)
+        z = np.exp(hidden @ net.out + net.out_bias)
+        return z / z.sum()
+
+    assert np.allclose(net.probabilities(codes), [plain(net, row) for row in codes], atol=1e-5)
+    for k, width in enumerate(shape.widths):  # a narrow filter sees no further than its width
+        assert not net.conv[width * shape.dim:, k * shape.filters:(k + 1) * shape.filters].any()
+    loss = lambda n: -np.log(n.probabilities(codes)[np.arange(9), answers]).mean()
+    more = lang_cnn.train(codes, answers, ["a", "b"], lang_cnn.Shape(**{**shape.__dict__, "epochs": 60}))
+    assert loss(more) < loss(net) and loss(more) < 0.3
+
+
+@pytest.mark.parametrize("ids", ["null", "one"])
+def test_training_sample_of_rows_without_ids(spark, ids, monkeypatch):
+    """Labelled rows without ids, or with one shared id, are drawn like all others, and no more of them."""
+    rng = random.Random(7)
+    rows = [(None if ids == "null" else 7, prose(rng, 40, ["alpha", "beta", "gamma", "delta"] if k % 2 else ["uno", "dos", "tres", "cuatro"]), "xy"[k % 2]) for k in range(2000)]
+    rows += [(None, rows[0][1], "x")] * 500  # copies of one text
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    seen, real = [], lang_cnn.train
+    monkeypatch.setattr(lang_cnn, "train", lambda codes, answers, langs, shape: seen.append(np.bincount(answers)) or real(codes, answers, langs, shape))
+    shape = lang_cnn.Shape(docs_per_lang=50, epochs=2)
+    net = lang_cnn.fit(docs, shape)
+    assert net is not None and len(seen[0]) == 2 and (seen[0] > 0).all() and (seen[0] <= 50 * shape.windows_per_doc).all()
+
+
+def test_slices_of_pressed_values_go_by_what_they_open_to():
+    import pyarrow as pa
+    import zstandard
+
+    from pnlflow.llm.common import slices
+
+    raw = [b"one phrase " * 100_000, b"", None, b"x", b"one phrase " * 50_000, b"one phrase " * 50_000]
+    batch = pa.RecordBatch.from_arrays([pa.array([None if b is None else zstandard.ZstdCompressor().compress(b) if b else b"" for b in raw], pa.binary())], names=["text"])
+    assert [s.num_rows for s in slices([batch], most=1 << 20, pressed=True)] == [1, 4, 1]
+    assert [s.num_rows for s in slices([batch], most=1 << 20)] == [6]

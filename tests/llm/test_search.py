@@ -57,6 +57,29 @@ def test_odd_vectors(spark):
     assert multi_index.neighbours(df.where("vec_id = 0"), "vec_id", "embedding", F.lit(True)).collect() == []
 
 
+def test_extreme_components_and_repeated_ids(spark):
+    """Doubles whose squares overflow or vanish; a query's row three times; one id with several vectors."""
+    rng = np.random.default_rng(2)
+    rows = [(i, (rng.normal(size=6) * scale).tolist()) for i, scale in enumerate([1.0, 1e200, 1e-200, 1e300, 1e-150, 1.0] * 8)]
+    rows += [rows[0], rows[0], rows[10], rows[11], rows[11]]
+    rows += [(5, rng.normal(size=6).tolist()), *((7, (np.array(rows[20][1]) * k).tolist()) for k in (1.0, 2.0, 4.0, 3.0))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    asks = [0, 1, 2, 3, 20, 30]
+    got = by_query(multi_index.neighbours(df, "vec_id", "embedding", F.col("vec_id").isin(asks), s=multi_index.Settings(recall=1.0, trial=1000, tile=9)).collect())
+    with np.errstate(all="ignore"):
+        for q in asks:
+            best = {}
+            for i, v in rows:
+                for j, w in rows:
+                    if i == q and j != q:
+                        a, b = (np.array([np.longdouble(x) for x in y]) for y in (v, w))
+                        best[j] = max(best.get(j, -2.0), float((a * b).sum() / (np.sqrt((a * a).sum()) * np.sqrt((b * b).sum()))))
+            expected = sorted(best.items(), key=lambda x: -x[1])[:5]
+            assert [j for j, _ in got[q]] == [j for j, _ in expected]
+            assert np.allclose([x for _, x in got[q]], [x for _, x in expected], rtol=1e-12)
+    assert multi_index.repeated(np.array([3, 1, 3, 2, 1, 3]))[0].tolist() == [1, 4] and len(multi_index.repeated(np.array([], np.int64))) == 0
+
+
 def test_walk_goes_by_summed_distance():
     rng = np.random.default_rng(1)
     left, right, size = rng.random(9), rng.random(7), rng.integers(0, 3, (9, 7))

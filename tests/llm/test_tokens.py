@@ -152,35 +152,53 @@ def test_bpe_by_words(odd_docs, odd_rows, spark):
     assert got == expected
 
 
-def plain_scores(rows):
+def plain_scores(rows, order=3):
+    """The model's formula, token by token, and the mass that each state gives out."""
     low = lambda t: re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
     tokens = [(i, [*WORD.findall(low(t)), None]) for i, t in rows]
     held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 5 == 1
-    c, pair, n_texts = Counter(), Counter(), 0
+    seen, n_texts = [Counter() for _ in range(order)], 0  # n-grams of 1, 2, ... tokens
     for i, w in tokens:
         if not held(i):
-            c.update(w)
-            pair.update(zip(["<begin>", *w], w))
+            padded = ["<begin>", *w]
+            seen[0].update(w)
+            for k in range(2, order + 1):
+                seen[k - 1].update(zip(*(padded[j:] for j in range(k))))
             n_texts += 1
+    c = seen[0]
     n, v = sum(c.values()), len(c)
     n1, n2 = (sum(x == k for x in c.values()) for k in (1, 2))
     d = min(0.95, max(0.05, n1 / (n1 + 2 * n2))) if n1 else 0.5
-    history = {**{k: x for k, x in c.items() if k is not None}, "<begin>": n_texts}
-    total = sum(x ** (1 - backoff_automaton.THETA) for x in history.values()) or 1
-    g = lambda u: min(0.99, max(0.01, d * len(pair) / total * history[u] ** -backoff_automaton.THETA)) if history.get(u) else 1.0
-    p = lambda w: ((c[w] - d) / n if w in c else d * v / n) if n else 1.0
-    arc = lambda u, w: g(u) * p(w) + ((1 - g(u)) * pair[u, w] / history[u] if pair[u, w] else 0)
+    histories = [{**{(k,): x for k, x in c.items() if k is not None}, ("<begin>",): n_texts}, *seen[1:]]
+    theta = backoff_automaton.THETA
+    total = [sum(x ** (1 - theta) for x in h.values()) or 1 for h in histories]
+
+    def g(h):
+        return min(0.99, max(0.01, d * len(seen[len(h)]) / total[len(h) - 1] * histories[len(h) - 1][h] ** -theta))
+
+    def p(h, w):
+        if not n:
+            return 1.0
+        if not h:
+            return (c[w] - d) / n if w in c else d * v / n
+        if not histories[len(h) - 1].get(h):
+            return p(h[1:], w)
+        return (1 - g(h)) * seen[len(h)][(*h, w)] / histories[len(h) - 1][h] + g(h) * p(h[1:], w)
+
     out = []
     for i, w in tokens:
-        out.append((i, held(i), len(w), sum(x in c for x in w), n, sum(math.log10((c[x] + 0.5) / (n + 0.5 * (v + 1))) for x in w),
-                    sum(math.log10(arc(a, b)) for a, b in zip(["<begin>", *w], w))))
-    mass = [sum(arc(u, w) for w in c) + g(u) * p("\0unknown") for u in [*list(history)[:50], "\0unknown"]]
+        padded = ["<begin>", *w]
+        score = sum(math.log10(p(tuple(padded[max(0, k - order + 1):k]), padded[k])) for k in range(1, len(padded)))
+        out.append((i, held(i), len(w), sum(x in c for x in w), n, sum(math.log10((c[x] + 0.5) / (n + 0.5 * (v + 1))) for x in w), score))
+    states = [(), *list(histories[0])[:20], ("<begin>",)] + [h for h in list(seen[1])[:20] if h[-1] is not None] * (order > 2)
+    mass = [sum(p(h, w) for w in c) + p(h, "\0unknown") for h in states]
     return out, mass
 
 
-def test_scores_equal_brute_force(odd_docs, odd_rows):
-    got = sorted((tuple(r) for r in backoff_automaton.score(odd_docs, remainder_of_id("doc_id", 5) != 1).collect()), key=str)
-    expected, mass = plain_scores(odd_rows)
+@pytest.mark.parametrize("order", [2, 3])
+def test_scores_equal_brute_force(odd_docs, odd_rows, order, monkeypatch):
+    got = sorted((tuple(r) for r in backoff_automaton.score(odd_docs, remainder_of_id("doc_id", 5) != 1, order).collect()), key=str)
+    expected, mass = plain_scores(odd_rows, order)
     expected.sort(key=str)
     assert [r[:5] for r in sorted(got, key=lambda r: (str(r[:5]), r[6]))] == [r[:5] for r in sorted(expected, key=lambda r: (str(r[:5]), r[6]))]
     assert np.allclose(sorted(r[5] for r in got), sorted(r[5] for r in expected), rtol=1e-9)
@@ -188,6 +206,33 @@ def test_scores_equal_brute_force(odd_docs, odd_rows):
     assert np.allclose(mass, 1)
 
 
+def test_the_automaton_by_hand():
+    """States, arcs and failure arcs over two short texts, read token by token."""
+    texts_ = ["a b a b", "a c"]
+    words = sorted({w for t in texts_ for w in t.split()})
+    block = backoff_automaton.Block(np.array([4, 2]), np.array([words.index(w) for t in texts_ for w in t.split()], np.uint32),
+                                    np.array([100, 200, 300], np.uint64), np.array([1, 1], np.uint8))
+    asked, where, doc, place = block.asked(3)
+    assert [len(k) for k, _ in asked] == [4, 6, 6] and place.tolist() == [0, 1, 2, 3, 4, 0, 1, 2]
+    counts = [c.astype(np.int64) for _, c in asked]
+    model = backoff_automaton.Model(8, 4, 1, 2, 2, (6, 6), (4.0, 6.0))
+    net = backoff_automaton.automaton(model, counts, where, place)
+    # the root, the begin, four tokens, six pairs
+    assert len(net.fail) == 2 + 4 + 6 and net.fail[:6].tolist() == [0] * 6 and set(net.fail[6:].tolist()) <= {2, 3, 4, 5}
+    assert len(net.arc) == 4 + 6 + 6 and (np.diff(net.arc) > 0).all()
+    token = where[0]
+    for start in (0, 5):
+        state = 1
+        for k in range(start, start + (5 if start == 0 else 3)):
+            (state,), _ = net.read(np.array([state]), token[k:k + 1])
+            assert state >= 6 and net.fail[state] - 2 == token[k]  # every history of the texts is a state
+    (state,), (weight,) = net.read(np.array([1]), token[4:5])  # an end never follows the begin: failure arc, then the root's
+    assert state == 2 + token[4] and np.isclose(weight, net.cost[1] + np.log10(model.root(counts[0][token[4:5]])[0]))
+    whole = backoff_automaton.traverse(net, token, place, 3)
+    for lane in (1, 2, 3, 4):
+        assert np.allclose(backoff_automaton.traverse(net, token, place, 3, lane), whole)
+
+
 def test_scores_on_held_out_documents(spark):
     docs = table(spark, "/root/testdata/sf0.01", "documents")
     got = {r.doc_id: r for r in backoff_automaton.score(docs, remainder_of_id("doc_id", 5) != 1).collect()}
@@ -196,6 +241,8 @@ def test_scores_on_held_out_documents(spark):
         assert np.allclose(list(got[i])[1:], x, rtol=1e-9)
     held = [r for r in got.values() if r.held_out]
     assert sum(r.score for r in held) > 0.8 * sum(r.base_score for r in held)
+    shorter = [r.score for r in backoff_automaton.score(docs, remainder_of_id("doc_id", 5) != 1, order=2).collect() if r.held_out]
+    assert sum(r.score for r in held) > sum(shorter)
 
 
 def test_nothing_to_learn_from(spark, odd_docs):
