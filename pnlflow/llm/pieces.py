@@ -19,10 +19,17 @@ REMEMBERED, REMEMBERED_CHARS = 500_000, 32 << 20
 #: Letters that every Unicode version knows as such, composed and with a single lower case.
 LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ſȘ-ț"
 _OTHER = re.compile(rf"[^\x00-\x7f{LETTERS}]")
-#: The pre-tokens of byte-level vocabularies in text of ASCII and those letters.
-_BYTE_LEVEL = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[0-9]+| ?[^\s0-9{LETTERS}]+|\s+(?!\S)|\s+", re.ASCII)
-#: The words of vocabularies that drop white space, in lower case.
-_SPACELESS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^\s0-9{LETTERS}]+", re.ASCII)
+
+
+def _patterns(letters: str) -> tuple[re.Pattern, re.Pattern]:
+    """The words of byte-level vocabularies, and those of vocabularies that drop white space, in lower case."""
+    short = "'(?:[stmd]|re|ve|ll)"
+    return (re.compile(rf" ?[{letters}]+|{short}| ?[0-9]+| ?[^\s0-9{letters}]+|\s+(?!\S)|\s+", re.ASCII),
+            re.compile(rf"[{letters}]+|{short}|[0-9]|[^\s0-9{letters}]+", re.ASCII))
+
+
+_BYTE_LEVEL, _SPACELESS = _patterns(LETTERS)
+_BYTE_LEVEL_ASCII, _SPACELESS_ASCII = _patterns("A-Za-z")
 _ASCII_SPACE = re.compile(r"[ \t-\r]+")
 # before a space: after a character that is no white space, or after other white space than spaces and before a word
 _CUT = re.compile(r"(?<=\S)(?= )|(?<=[^\S ])(?= \S)")
@@ -37,6 +44,8 @@ def simple(text: str) -> bool:
 
 def byte_level_words(text: str) -> list[str]:
     """The pre-tokens of a text; stretches with other letters or marks stay whole, from one safe cut to the next."""
+    if text.isascii():
+        return _BYTE_LEVEL_ASCII.findall(text)
     if simple(text):
         return _BYTE_LEVEL.findall(text)
     return [w for piece in _CUT.split(text) for w in (_BYTE_LEVEL.findall(piece) if simple(piece) else [piece])]
@@ -45,6 +54,8 @@ def byte_level_words(text: str) -> list[str]:
 def spaceless_words(text: str) -> list[str]:
     """The words of a vocabulary that folds case and drops white space; what holds other letters or marks
     stays whole between white space."""
+    if text.isascii():
+        return _SPACELESS_ASCII.findall(text.lower())
     if simple(text):
         return _SPACELESS.findall(text.lower())
     return [w for piece in _ASCII_SPACE.split(text) for w in (_SPACELESS.findall(piece.lower()) if simple(piece) else [piece])]
