@@ -83,7 +83,8 @@ def money(c: str | Column) -> Column:
 
 MICRO = Decimal("0.000001")
 # Spark's floor of a double is a 64-bit integer, which saturates silently; so the
-# micros are floored in two parts, multiples of 2^40 and the rest.
+# micros are cut in two parts, multiples of 2^40 towards zero and the rest, which is exact
+# as it keeps the sign (the rest above a floor would be rounded for small negative micros).
 _PART = 2.0 ** 40
 #: Beyond this amount the upper part itself would no longer fit: an error, not a cap.
 MONEY_LIMIT = 1e24
@@ -96,7 +97,8 @@ def money_from_double(c: str | Column) -> Column:
     shortest decimal form in one engine and the binary value in another.  Both
     parts of the floor are exact; an amount beyond MONEY_LIMIT raises."""
     micros = col(c) * F.lit(1000000.0) + F.lit(0.5)
-    upper = F.floor(micros / F.lit(_PART))
+    parts = micros / F.lit(_PART)
+    upper = F.when(parts < 0, F.ceil(parts)).otherwise(F.floor(parts))
     rest = F.floor(micros - upper.cast("double") * F.lit(_PART))
     whole = (upper.cast("decimal(20,0)") * F.lit(Decimal(2 ** 40)) + rest.cast("decimal(14,0)")).cast("decimal(38,0)")
     too_large = F.raise_error(F.concat(F.lit("amount beyond the money limit: "), col(c).cast("string")))

@@ -117,7 +117,8 @@ def test_money_rounding_has_no_cap(spark):
 
     from pnlflow.functions import scalars as S
 
-    values = [float(x) for x in LARGE] + [9.3e12, 5e13, -5e13, 1.5e18, -1e23, 0.0, -0.0, 1e-7, 2.5e-6, -2.5e-6, 1234.5678905]
+    values = [float(x) for x in LARGE] + [9.3e12, 5e13, -5e13, 1.5e18, -1e23, 0.0, -0.0, 1e-7, 2.5e-6, -2.5e-6, 1234.5678905,
+                                          -51015.131562500006, -1.0000004999999999, -5e-7, -1e-7, -123456789.0123455]
     got = [r[0] for r in spark.createDataFrame([(v,) for v in values], "v double").select(S.money_from_double("v")).collect()]
     with localcontext(prec=60):
         assert got == [D(math.floor(v * 1000000.0 + 0.5)).scaleb(-6) for v in values]
