@@ -48,7 +48,7 @@ from pnlflow.llm.common import numbered, own_numbers, slices, stored, texts
 from pnlflow.llm.packed import by_count, pack, pack_rising, unpack, unpack_rising
 
 U = np.uint64
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 8 << 20
 THETA = 0.15
 #: Hashes of the marks around a text; a word's is made to differ.
 BEGIN, END = U(1), U(2)

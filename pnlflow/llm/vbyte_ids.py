@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pnlflow.llm.common import SLICE_BYTES, opened, press, slices, stored
+from pnlflow.llm.common import slices, stored, texts
 from pnlflow.llm.packed import pack, unpack
 from pnlflow.llm.word_codec import codec, with_end
 
@@ -61,8 +61,8 @@ def _tokenize(path: str, end: int):
     """Blocks of ids as they are; rows come in order, so a block knows what is before it in its part."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before = TaskContext.get().partitionId(), 0
-        for block, batch in enumerate(slices(batches, most=SLICE_BYTES, pressed=True)):
-            ids, count = with_end(*codec(path, False).encode([opened(z) for z in batch.column("text").to_pylist()]), end)
+        for block, batch in enumerate(slices(batches)):
+            ids, count = with_end(*codec(path, False).encode(texts(batch.column("text"))), end)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([block], pa.int32()), pa.array([before], pa.int64()),
                  pa.array([batch.column("doc_id").to_pylist()], pa.list_(pa.int64())), pa.array([count.tolist()], pa.list_(pa.int64())),
@@ -118,8 +118,8 @@ def write(docs: DataFrame, tokenizer: str, end: int, path: str) -> None:
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tie"), F.col("text").cast("string").alias("text"))
-    ordered = (rows.mapInArrow(press, "doc_id long, tie long, text binary")
-               .repartitionByRange(parts, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text"))
+    # the ranges are found by a first look at the same rows, so nothing is computed before them
+    ordered = rows.repartitionByRange(parts, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
     blocks = stored(ordered.mapInArrow(_tokenize(tokenizer, end), f"{PLACE}, ids binary"), "token-ids")
     order = frequency_ranks(blocks)
     spark.createDataFrame([(order.astype("<u4").tobytes(),)], "ids binary").write.parquet(f"{path}/ranks")
