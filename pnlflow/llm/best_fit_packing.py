@@ -36,7 +36,7 @@ RANKED = 200_000
 
 def _pieces(path: str, end: int, size: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, most=2 << 20):
+        for batch in slices(batches, most=1 << 20, remembers=True):
             ids, count = with_end(*codec(path, True).encode(texts(batch.column("text"))), end)
             n = -(-count // size)
             doc, piece = spread(n)

@@ -61,9 +61,24 @@ def remainder_of_id(key: str, n: int) -> Column:
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(0)) % n
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES, pressed: bool = False) -> Iterator[pa.RecordBatch]:
+#: What a worker remembers from task to task, some hundred megabytes.
+_remembered: list[dict] = []
+
+
+def remembered() -> dict:
+    """A dict that outlives a task, until the worker has one that does not use it (see ``slices``)."""
+    _remembered.append({})
+    return _remembered[-1]
+
+
+def slices(batches: Iterable[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES, pressed: bool = False, remembers: bool = False) -> Iterator[pa.RecordBatch]:
     """The batches cut into row ranges of at most ``most`` bytes of ``column`` (one row at least);
-    ``pressed``: of what its values open to, as their frames say."""
+    ``pressed``: of what its values open to, as their frames say; ``remembers``: for a task that uses
+    what others left in memory, which goes otherwise."""
+    if not remembers and any(_remembered):
+        for d in _remembered:
+            d.clear()
+        give_back()
     for batch in batches:
         if pressed:
             size = np.fromiter((zstandard.frame_content_size(z) if z else 0 for z in batch.column(column).to_pylist()), np.int64, batch.num_rows)
@@ -132,17 +147,16 @@ def sums(values: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def numbered(words: Iterable[bytes], known: dict, n: int = -1) -> np.ndarray:
-    """A number for each word; ``known`` is a defaultdict whose factory is its own length."""
+    """A number for each word; ``known`` is a dict as ``own_numbers`` makes it."""
     return np.fromiter(map(known.__getitem__, words), np.int64, n)
 
 
 def own_numbers() -> dict:
     """A dict that numbers new keys in the order of their first use."""
     from collections import defaultdict
+    from itertools import count
 
-    d: dict = defaultdict()
-    d.default_factory = d.__len__
-    return d
+    return defaultdict(count().__next__)  # not its own length: a dict that holds itself waits for the collector
 
 
 def spread(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

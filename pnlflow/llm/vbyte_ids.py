@@ -61,7 +61,7 @@ def _tokenize(path: str, end: int):
     """Blocks of ids as they are; rows come in order, so a block knows what is before it in its part."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before = TaskContext.get().partitionId(), 0
-        for block, batch in enumerate(slices(batches, most=SLICE_BYTES, pressed=True)):
+        for block, batch in enumerate(slices(batches, most=SLICE_BYTES, pressed=True, remembers=True)):
             ids, count = with_end(*codec(path, False).encode([opened(z) for z in batch.column("text").to_pylist()]), end)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([block], pa.int32()), pa.array([before], pa.int64()),

@@ -13,12 +13,13 @@ import re
 
 import numpy as np
 
+from pnlflow.llm.common import remembered
 from pnlflow.llm.pieces import PieceMemory, byte_level_words, spaceless_words, windows
 
 #: Pieces that PieceCodec remembers (about 100 MB); beyond, its memory starts anew.
 REMEMBERED = 500_000
-#: Words that WordCodec remembers (about 170 MB).
-WORDS = 800_000
+#: Words that WordCodec remembers (about 130 MB).
+WORDS = 600_000
 #: A word of its own in any text, put between pieces that are encoded in one call.
 MARK, JOINED = "\x01", 64
 
@@ -169,11 +170,12 @@ class WordCodec:
         return ids, count
 
 
-_codecs: dict[tuple, WordCodec] = {}
+_codecs: dict[tuple, WordCodec] = remembered()
 
 
 def codec(path: str, keeps_space: bool, plain_added: bool = False) -> WordCodec:
-    """The worker's own codec; it outlives a task, so a piece is seldom encoded twice."""
+    """The worker's own codec; it outlives a task, so a piece is seldom encoded twice.  Tasks say that they use it by
+    ``slices(..., remembers=True)``."""
     key = (path, keeps_space, plain_added)
     if key not in _codecs:
         _codecs[key] = WordCodec(*key)

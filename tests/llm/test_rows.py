@@ -1,15 +1,19 @@
 """Operators that judge row by row: compression bands and language ID."""
 
+import gc
 import random
 import re
+import sys
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from pnlflow.llm import lang_cnn, quality_bands
-from pnlflow.llm.common import remainder_of_id, table
+from pnlflow.llm import common, lang_cnn, quality_bands
+from pnlflow.llm.common import numbered, own_numbers, remainder_of_id, remembered, slices, table, tokenizer_path
+from pnlflow.llm.word_codec import codec
 from tests.llm.conftest import prose
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -166,3 +170,36 @@ def test_slices_of_pressed_values_go_by_what_they_open_to():
     batch = pa.RecordBatch.from_arrays([pa.array([None if b is None else zstandard.ZstdCompressor().compress(b) if b else b"" for b in raw], pa.binary())], names=["text"])
     assert [s.num_rows for s in slices([batch], most=1 << 20, pressed=True)] == [1, 4, 1]
     assert [s.num_rows for s in slices([batch], most=1 << 20)] == [6]
+
+
+def test_numbers_need_no_collector():
+    """A dict of a slice's words goes with the slice, not when the collector comes round."""
+    gc.collect()
+    gc.disable()
+    try:
+        words = [b"w%d" % k for k in range(100)]
+        known = own_numbers()
+        numbers, in_order = numbered(words + words, known).tolist(), list(known) == words
+        with_dict = sys.getrefcount(words[0])
+        del known
+        without = sys.getrefcount(words[0])
+        assert numbers == [*range(100)] * 2 and in_order and without == with_dict - 1
+    finally:
+        gc.enable()
+
+
+def test_a_worker_forgets_what_another_task_does_not_use():
+    """A pipeline's workers go from packing to stages that need the room."""
+    batch = pa.RecordBatch.from_arrays([pa.array(["a b", None])], names=["text"])
+    held = remembered()
+    try:
+        held["codec"] = object()
+        assert list(slices([batch], remembers=True)) == [batch] and held
+        assert list(slices([batch])) == [batch] and not held
+    finally:
+        common._remembered.pop()
+    path = tokenizer_path("word_bpe_49k.json")
+    first = codec(path, False)
+    assert codec(path, False) is first
+    list(slices([batch]))
+    assert codec(path, False) is not first
