@@ -10,6 +10,7 @@ import re
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 
 from pnlflow.llm.common import SLICE_BYTES
 
@@ -61,6 +62,40 @@ def spaceless_words(text: str) -> list[str]:
     return [w for piece in _ASCII_SPACE.split(text) for w in (_SPACELESS.findall(piece.lower()) if simple(piece) else [piece])]
 
 
+#: Byte -> 0 white space, 1 letter, 2 digit, 3 other, for simple texts in lower case: beyond ASCII they hold letters alone.
+_KIND = np.full(256, 3, np.uint8)
+_KIND[[0x20, *range(0x09, 0x0E)]] = 0
+_KIND[[*range(0x61, 0x7B), *range(0x80, 0x100)]] = 1
+_KIND[0x30:0x3A] = 2
+_STMD = np.isin(np.arange(256), list(b"stmd"))
+
+
+def spaceless_arrays(texts: Sequence[bytes]) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """What ``spaceless_words`` finds in simple texts that are in lower case already, all texts at once: the words, and
+    how many each text has."""
+    raw = np.frombuffer(b"\n".join(texts) + b"\n\n\n", np.uint8)
+    data = raw[:-2]  # ends with white space; two more bytes to look ahead
+    kind = _KIND[data]
+    begins = np.ones(len(data) + 1, bool)
+    begins[1:-1] = (kind[1:] != kind[:-1]) | (kind[1:] == 2)
+    quote = np.flatnonzero(data == 0x27)
+    quote = quote[begins[quote]]
+    one = _STMD[raw[quote + 1]]
+    a, b = raw[quote + 1], raw[quote + 2]
+    two = (b == 0x65) & ((a == 0x72) | (a == 0x76)) | (a == 0x6C) & (b == 0x6C)  # re, ve, ll
+    begins[quote[one | two] + 1] = False
+    begins[quote[one] + 2] = True
+    begins[quote[two] + 3] = True
+    edge = np.flatnonzero(begins)
+    word = kind[edge[:-1]] != 0
+    at = np.zeros(int(np.count_nonzero(word)) + 1, np.int32)
+    np.cumsum(np.diff(edge)[word], out=at[1:])
+    words = pa.StringArray.from_buffers(len(at) - 1, pa.py_buffer(at), pa.py_buffer(data[kind != 0]))
+    end = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+    before = np.searchsorted(edge[:-1][word], end)
+    return words.dictionary_encode(), np.diff(before, prepend=0)
+
+
 def windows(text: str, most: int = SLICE_BYTES) -> Iterator[str]:
     """A long text in parts of about ``most`` characters, cut before spaces."""
     at = 0
@@ -101,17 +136,30 @@ class PieceMemory:
             self.chars += sum(map(len, new))
             self.known.new = []
 
-    def encode(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of all texts, and how many each text has."""
+    def _start(self) -> Callable[[str], int]:
         if len(self.known) > self.most or self.chars > REMEMBERED_CHARS:
             self._forget()
-        get = self.known.__getitem__
+        return self.known.__getitem__
+
+    def _gather(self, begin: np.ndarray, size: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        edge = np.concatenate(([0], np.cumsum(count)))
+        end = np.concatenate(([0], np.cumsum(size)))
+        place = np.arange(end[-1]) + np.repeat(begin - end[:-1], size)
+        return self.ids[place], end[edge[1:]] - end[edge[:-1]]
+
+    def encode(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of all texts, and how many each text has."""
+        get = self._start()
         parts = [np.fromiter(map(get, p), np.int64, len(p)) for p in map(self.cut, texts)]
         self._learn()
         number = np.concatenate(parts) if parts else np.zeros(0, np.int64)
-        edge = np.concatenate(([0], np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))))
         begin = self.start[number]
-        size = self.start[number + 1] - begin
-        end = np.concatenate(([0], np.cumsum(size)))
-        place = np.arange(end[-1]) + np.repeat(begin - end[:-1], size)
-        return self.ids[place], end[edge[1:]] - end[edge[:-1]]
+        return self._gather(begin, self.start[number + 1] - begin, np.fromiter(map(len, parts), np.int64, len(parts)))
+
+    def encode_words(self, words: pa.DictionaryArray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for texts that are cut already; each distinct word of them is looked up once."""
+        get = self._start()
+        number = np.fromiter(map(get, words.dictionary.to_pylist()), np.int64, len(words.dictionary))
+        self._learn()
+        begin, size, index = self.start[number], self.start[number + 1] - self.start[number], words.indices.to_numpy()
+        return self._gather(begin[index], size[index], count)

@@ -30,6 +30,9 @@ from pnlflow.llm.common import SLICE_BYTES, opened, press, slices, stored
 from pnlflow.llm.packed import pack, unpack
 from pnlflow.llm.word_codec import codec, with_end
 
+#: Words that a worker remembers (some 200 MB).
+WORDS = 1_200_000
+
 _SHIFT = np.arange(4, dtype=np.uint8) * 2
 #: Control byte -> the lengths of its four values.
 LENGTHS = (((np.arange(256)[:, None] >> _SHIFT) & 3) + 1).astype(np.uint8)
@@ -37,23 +40,32 @@ LENGTHS = (((np.arange(256)[:, None] >> _SHIFT) & 3) + 1).astype(np.uint8)
 
 def encode(values: np.ndarray) -> tuple[bytes, bytes]:
     """Control bytes and data bytes of unsigned 32-bit values."""
-    v = values.astype("<u4")
-    more = (v > 0xFF).astype(np.uint8) + (v > 0xFFFF) + (v > 0xFFFFFF)
-    four = np.zeros(-(-len(v) // 4) * 4, np.uint8)
-    four[:len(v)] = more
-    control = (four.reshape(-1, 4) << _SHIFT).sum(axis=1).astype(np.uint8)
-    keep = np.arange(4) <= more[:, None]
-    return control.tobytes(), v.view(np.uint8).reshape(-1, 4)[keep].tobytes()
+    v = values.astype("<u4", copy=False)
+    width = max(1, -(-int(v.max(initial=0)).bit_length() // 8))  # bytes of the largest value
+    more = np.zeros(-(-len(v) // 4) * 4, np.uint8)
+    for k in range(1, width):
+        more[:len(v)] += v >= 1 << 8 * k
+    four = more.reshape(-1, 4)
+    control = four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6
+    end = np.cumsum(more[:len(v)] + 1, dtype=np.int64)
+    out = np.empty(int(end[-1]) if len(v) else 0, np.uint8)
+    at = end - 1 - more[:len(v)]
+    out[at] = v.astype(np.uint8)
+    for k in range(1, width):
+        some = np.flatnonzero(more[:len(v)] >= k)
+        out[at[some] + k] = (v[some] >> 8 * k).astype(np.uint8)
+    return control.tobytes(), out.tobytes()
 
 
 def decode(control: bytes, data: bytes, n: int) -> np.ndarray:
     """The ``n`` values of control and data bytes."""
-    size = LENGTHS[np.frombuffer(control, np.uint8)].ravel()[:n].astype(np.int64)
-    at = np.cumsum(size) - size
-    raw = np.concatenate((np.frombuffer(data, np.uint8), np.zeros(4, np.uint8)))
-    out = np.zeros(n, np.uint32)
-    for k in range(4):
-        out |= np.where(size > k, raw[at + k], 0).astype(np.uint32) << np.uint32(8 * k)
+    size = LENGTHS[np.frombuffer(control, np.uint8)].ravel()[:n]
+    at = np.cumsum(size, dtype=np.int64) - size
+    raw = np.frombuffer(data, np.uint8)
+    out = raw[at].astype(np.uint32)
+    for k in range(1, int(size.max(initial=1))):
+        some = np.flatnonzero(size > k)
+        out[some] |= raw[at[some] + k].astype(np.uint32) << np.uint32(8 * k)
     return out
 
 
@@ -62,7 +74,7 @@ def _tokenize(path: str, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before = TaskContext.get().partitionId(), 0
         for block, batch in enumerate(slices(batches, most=SLICE_BYTES, pressed=True, remembers=True)):
-            ids, count = with_end(*codec(path, False).encode([opened(z) for z in batch.column("text").to_pylist()]), end)
+            ids, count = with_end(*codec(path, False, most=WORDS).encode([opened(z) for z in batch.column("text").to_pylist()]), end)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([block], pa.int32()), pa.array([before], pa.int64()),
                  pa.array([batch.column("doc_id").to_pylist()], pa.list_(pa.int64())), pa.array([count.tolist()], pa.list_(pa.int64())),

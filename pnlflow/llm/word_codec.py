@@ -13,8 +13,8 @@ import re
 
 import numpy as np
 
-from pnlflow.llm.common import remembered
-from pnlflow.llm.pieces import PieceMemory, byte_level_words, spaceless_words, windows
+from pnlflow.llm.common import SLICE_BYTES, remembered
+from pnlflow.llm.pieces import PieceMemory, byte_level_words, simple, spaceless_arrays, spaceless_words, windows
 
 #: Pieces that PieceCodec remembers (about 100 MB); beyond, its memory starts anew.
 REMEMBERED = 500_000
@@ -148,6 +148,27 @@ class WordCodec:
                 begin = end + 1
         return out
 
+    def _spaceless(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Simple parts are cut as arrays, some megabytes at once, the others one by one."""
+        plain = np.fromiter(map(simple, parts), bool, len(parts))
+        group: list[bytes] = []
+        made, held = [], 0
+        for at in np.flatnonzero(plain).tolist():
+            group.append(parts[at].lower().encode())
+            held += len(group[-1])
+            if held > SLICE_BYTES:
+                made.append(self.memory.encode_words(*spaceless_arrays(group)))
+                group, held = [], 0
+        made.append(self.memory.encode_words(*spaceless_arrays(group)))
+        if not plain.all():
+            made.append(self.memory.encode([parts[k] for k in np.flatnonzero(~plain).tolist()]))
+        ids, size = (np.concatenate(x) for x in zip(*made))
+        if plain.all():
+            return ids, size
+        place = np.argsort(~plain, kind="stable").argsort()  # where each part is in ``made``
+        begin, size = (np.cumsum(size) - size)[place], size[place]
+        return ids[np.arange(len(ids)) + np.repeat(begin - (np.cumsum(size) - size), size)], size
+
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of all texts, and how many each text has.  A long text passes in windows; a text that
         holds an added token goes through the library whole."""
@@ -161,7 +182,7 @@ class WordCodec:
                 front = list(windows(text))
                 row += [i] * len(front)
                 parts += front
-        ids, size = self.memory.encode(parts)
+        ids, size = self.memory.encode(parts) if self.keeps_space else self._spaceless(parts)
         count = np.bincount(np.array(row, np.int64), weights=size, minlength=len(texts)).astype(np.int64)
         if whole:
             at = np.concatenate(([0], np.cumsum(count)))
@@ -173,10 +194,10 @@ class WordCodec:
 _codecs: dict[tuple, WordCodec] = remembered()
 
 
-def codec(path: str, keeps_space: bool, plain_added: bool = False) -> WordCodec:
+def codec(path: str, keeps_space: bool, plain_added: bool = False, most: int = WORDS) -> WordCodec:
     """The worker's own codec; it outlives a task, so a piece is seldom encoded twice.  Tasks say that they use it by
     ``slices(..., remembers=True)``."""
-    key = (path, keeps_space, plain_added)
+    key = (path, keeps_space, plain_added, most)
     if key not in _codecs:
         _codecs[key] = WordCodec(*key)
     return _codecs[key]

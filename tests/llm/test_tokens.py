@@ -15,7 +15,8 @@ from tokenizers import Tokenizer
 from pnlflow.llm import backoff_automaton, best_fit_packing, bpe_words, vbyte_ids
 from pnlflow.llm.common import remainder_of_id, scratch_path, table, tokenizer_path
 from pnlflow.llm.packed import pack, pack_rising, pack_strings, unpack, unpack_rising, unpack_strings
-from pnlflow.llm.word_codec import codec
+from pnlflow.llm.pieces import simple, spaceless_arrays, spaceless_words
+from pnlflow.llm.word_codec import WordCodec, codec
 from tests.llm.test_rows import WORD
 
 
@@ -48,6 +49,35 @@ def test_codec_equals_the_library(name, keeps, plain, odd_rows):
         assert ids[edge[k]:edge[k + 1]].tolist() == t.encode(text, add_special_tokens=False).ids, text
 
 
+def test_words_cut_as_arrays(odd_rows):
+    rng = random.Random(6)
+    alphabet = [*"abdelmrstv  ''''.!09", "\n", "\t", "\x0b", "\x1c", "é", "ß", "Ș", "'s", "'re", "'ll", "''"]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 40))) for _ in range(5000)] + odd_texts() + [t or "" for _, t in odd_rows]
+    texts = [t for t in texts if simple(t)]
+    for some in ([], [""], ["'"], ["'r", "e"], ["", "a", "", "'s"], texts):
+        words, count = spaceless_arrays([t.lower().encode() for t in some])
+        expected = [spaceless_words(t) for t in some]
+        assert count.tolist() == [len(e) for e in expected]
+        assert words.cast("string").to_pylist() == [w for e in expected for w in e]
+
+
+def test_simple_texts_are_looked_up_once_for_each_distinct_word():
+    """Not once for each word: the budget of op6 allows no Python step for every word."""
+    c, asked = WordCodec(tokenizer_path("word_bpe_49k.json"), False), []
+
+    class Known(type(c.memory.known)):
+        def __getitem__(self, key):
+            asked.append(key)
+            return super().__getitem__(key)
+
+    c.memory.known = Known()
+    texts = ["One two, one TWO. " * 200, "déjà vu " * 100, "", "好 one 好"]
+    ids, count = c.encode([t.encode() for t in texts])
+    expected = [plain_ids("word_bpe_49k.json", t) for t in texts]
+    assert ids.tolist() == [i for e in expected for i in e] and count.tolist() == [len(e) for e in expected]
+    assert len(asked) < 20
+
+
 def test_packing(odd_docs, odd_rows):
     got = best_fit_packing.pack_documents(odd_docs, tokenizer_path("byte_bpe_50k.json"), with_ids=True).collect()
     by_doc = defaultdict(Counter)
@@ -113,6 +143,16 @@ def test_vbyte_round_trip():
         assert vbyte_ids.decode(*vbyte_ids.encode(v), n).tolist() == v.tolist()
 
 
+@pytest.mark.parametrize("top", [0, 0xFF, 0x100, 0xFFFF, 0x10000, 0xFFFFFF, 0x1000000, 0xFFFFFFFF])
+def test_vbyte_bytes(top):
+    v = [0, top, 1, top, min(top, 300)]
+    size = [max(1, -(-x.bit_length() // 8)) for x in v]
+    control, data = vbyte_ids.encode(np.array(v, np.uint32))
+    assert data == b"".join(x.to_bytes(n, "little") for x, n in zip(v, size))
+    assert control == bytes(sum((n - 1) << 2 * j for j, n in enumerate(size[k:k + 4])) for k in (0, 4))
+    assert vbyte_ids.decode(control, data, 5).tolist() == v
+
+
 def test_packed_round_trips():
     rng = np.random.default_rng(1)
     a = np.sort(rng.integers(0, 1 << 63, 500).astype(np.uint64))
