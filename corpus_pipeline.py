@@ -43,8 +43,9 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Training sequences of 2048 ids: one row per piece of a document."""
-    return best_fit_packing.pack_documents(docs, tokenizer_path("byte_bpe_50k.json"))
+    """Training sequences of 2048 ids: one row per piece of a document.  Workers remember fewer words than
+    in a packing of its own: the stages before have filled the executor's heap."""
+    return best_fit_packing.pack_documents(docs, tokenizer_path("byte_bpe_50k.json"), words=600_000)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

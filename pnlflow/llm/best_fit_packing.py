@@ -27,17 +27,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pnlflow.llm.common import slices, spread, stored, texts
-from pnlflow.llm.word_codec import codec, with_end
+from pnlflow.llm.word_codec import WORDS, codec, with_end
 
 SEQUENCE = 2048
 #: Pieces of one length that one task ranks, about.
 RANKED = 200_000
 
 
-def _pieces(path: str, end: int, size: int, with_ids: bool):
+def _pieces(path: str, end: int, size: int, with_ids: bool, words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, most=1 << 20, remembers=True):
-            ids, count = with_end(*codec(path, True).encode(texts(batch.column("text"))), end)
+            ids, count = with_end(*codec(path, True, most=words).encode(texts(batch.column("text"))), end)
             n = -(-count // size)
             doc, piece = spread(n)
             head = count - (n - 1) * size  # the first piece takes the remainder
@@ -53,10 +53,11 @@ def _pieces(path: str, end: int, size: int, with_ids: bool):
     return run
 
 
-def pieces(docs: DataFrame, path: str, end: int = 0, size: int = SEQUENCE, with_ids: bool = False) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 and, if wanted, the ids (little-endian, 4 bytes each)."""
+def pieces(docs: DataFrame, path: str, end: int = 0, size: int = SEQUENCE, with_ids: bool = False, words: int = WORDS) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32 and, if wanted, the ids (little-endian, 4 bytes each).
+    words: how many a worker remembers."""
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-            .mapInArrow(_pieces(path, end, size, with_ids),
+            .mapInArrow(_pieces(path, end, size, with_ids, words),
                         "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids))
 
 
@@ -167,6 +168,6 @@ def pack(found: DataFrame, size: int = SEQUENCE) -> DataFrame:
     return ranked.select(*columns, "rank").mapInArrow(_place(plan, columns), schema)
 
 
-def pack_documents(docs: DataFrame, path: str, end: int = 0, size: int = SEQUENCE, with_ids: bool = False) -> DataFrame:
+def pack_documents(docs: DataFrame, path: str, end: int = 0, size: int = SEQUENCE, with_ids: bool = False, words: int = WORDS) -> DataFrame:
     """Tokenize, cut and pack: one row per piece, with its ids if wanted."""
-    return pack(stored(pieces(docs, path, end, size, with_ids), "pieces"), size)
+    return pack(stored(pieces(docs, path, end, size, with_ids, words), "pieces"), size)

@@ -18,8 +18,8 @@ from pnlflow.llm.pieces import PieceMemory, byte_level_words, simple, spaceless_
 
 #: Pieces that PieceCodec remembers (about 100 MB); beyond, its memory starts anew.
 REMEMBERED = 500_000
-#: Words that WordCodec remembers (about 130 MB).
-WORDS = 600_000
+#: Words that WordCodec remembers (about 170 MB).
+WORDS = 800_000
 #: A word of its own in any text, put between pieces that are encoded in one call.
 MARK, JOINED = "\x01", 64
 
